@@ -12,10 +12,20 @@ from pyspark.sql import Column, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` worked out once, also inside conditional branches."""
+    """``body(value)`` with ``value`` worked out once.
+
+    A column used inside a lambda may be inlined there by the optimizer and then be evaluated per
+    element, and conditional branches do not share subexpressions; a lambda variable avoids both.
+    """
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def let_all(body: Callable[..., Column], **values: Column) -> Column:
+    """``let`` for several named values at once."""
+    packed = F.struct(*[v.alias(k) for k, v in values.items()])
+    return let(packed, lambda s: body(**{k: s[k] for k in values}))
+
+
 def median_of_sorted(arr: Column) -> Column:
     """Median of an ascending, non-empty array (mean of the two middle values)."""
     n = F.size(arr)
@@ -49,8 +59,12 @@ def tail_from(arr: Column, skip: Column) -> Column:
 
 def smoothed_level(arr: Column, alpha: float) -> Column:
     """Last level of exponential smoothing started at the first element; NULL if empty."""
-    first = F.try_element_at(arr, F.lit(1))
-    return F.aggregate(tail_from(arr, F.lit(1)), first, lambda lvl, v: F.lit(alpha) * v + F.lit(1.0 - alpha) * lvl)
+    def level(values: Column) -> Column:
+        return F.aggregate(
+            tail_from(values, F.lit(1)), F.try_element_at(values, F.lit(1)),
+            lambda lvl, v: F.lit(alpha) * v + F.lit(1.0 - alpha) * lvl)
+
+    return let(arr, level)
 
 
 def grid_smoothed_level(arr: Column, alphas: Sequence[float]) -> Column:
@@ -58,12 +72,7 @@ def grid_smoothed_level(arr: Column, alphas: Sequence[float]) -> Column:
 
     All alphas advance together in one fold, so the array is read once.
     """
-    first = F.try_element_at(arr, F.lit(1))
     ids = range(len(alphas))
-    start = F.struct(
-        *[first.alias(f"l{i}") for i in ids],
-        *[F.lit(0.0).alias(f"e{i}") for i in ids],
-    )
 
     def step(acc: Column, v: Column) -> Column:
         return F.struct(
@@ -72,29 +81,25 @@ def grid_smoothed_level(arr: Column, alphas: Sequence[float]) -> Column:
         )
 
     def best(acc: Column) -> Column:
-        level, error = acc["l0"], acc["e0"]
-        for i in ids[1:]:
-            better = acc[f"e{i}"] < error
-            level = F.when(better, acc[f"l{i}"]).otherwise(level)
-            error = F.least(acc[f"e{i}"], error)
-        return level
+        ranked = F.array_min(F.array(*[
+            F.struct(acc[f"e{i}"].alias("e"), F.lit(i).alias("i"), acc[f"l{i}"].alias("l")) for i in ids]))
+        return ranked["l"]
+
+    def fold(values: Column) -> Column:
+        first = F.try_element_at(values, F.lit(1))
+        start = F.struct(*[first.alias(f"l{i}") for i in ids], *[F.lit(0.0).alias(f"e{i}") for i in ids])
+        return F.aggregate(tail_from(values, F.lit(1)), start, step, best)
 
-    return F.aggregate(tail_from(arr, F.lit(1)), start, step, best)
+    return let(arr, fold)
 
 
 def bucket_sums(arr: Column, length: Column) -> Column:
     """Sums of consecutive buckets of ``length``; the oldest incomplete bucket is dropped."""
-    n = F.size(arr)
-    skip = n % length
-    count = ((n - skip) / length).cast("int")
-    return F.when(
-        count >= 1,
-        F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda j: array_total(F.slice(arr, (skip + j * length + 1).cast("int"), length)),
-        ),
-    ).otherwise(F.array().cast("array<double>"))
-
-
-def repeat_value(value: Column, h: int) -> Column:
-    return F.array_repeat(value, h)
+    def sums(values: Column, size: Column) -> Column:
+        skip = F.size(values) % size
+        starts = F.when(
+            F.size(values) >= size, F.sequence(skip + 1, F.size(values) - size + 1, size)
+        ).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: array_total(F.slice(values, i, size)))
+
+    return let_all(sums, values=arr, size=length)

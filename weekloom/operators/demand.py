@@ -42,12 +42,19 @@ def segment_by_maturity(registry: DataFrame, id_column: str = "time_series_id",
     return registry.select(id_column, segment.alias("segment"), idle.alias("weeks_since_last_sale"))
 
 
-def segment_panel(dense: DataFrame, reference: Column, keys: Sequence[str] = ("unique_id",),
-                  date: str = "ds") -> DataFrame:
-    """The same rule added to every row of a gap-filled panel, inside its existing partitioning."""
+def segment_weekly(weekly: DataFrame, reference: Column, keys: Sequence[str] = ("unique_id",),
+                   date: str = "ds") -> DataFrame:
+    """The same rule on every row of a weekly table with gaps, inside its partitioning by series.
+
+    The length is the number of weeks from the first to the last row, so excluded series can be
+    filtered before their gaps are filled.
+    """
     whole = Window.partitionBy(*keys)
-    segment, idle = maturity_columns(F.count(F.lit(1)).over(whole), F.max(date).over(whole), reference)
-    return dense.withColumns({"segment": segment, "weeks_since_last_sale": idle})
+    first, last = F.min(date).over(whole), F.max(date).over(whole)
+    ends = weekly.withColumns({"_first": first, "_last": last})
+    length = F.datediff("_last", "_first") / 7 + 1
+    segment, idle = maturity_columns(length, F.col("_last"), reference)
+    return ends.withColumns({"segment": segment, "weeks_since_last_sale": idle}).drop("_first", "_last")
 
 
 def _positive_window(value: str, keys: Sequence[str], date: str, window: int) -> tuple[Column, Column]:

@@ -16,16 +16,21 @@ STAT_COLUMNS = [
 ]
 
 
+def by_series(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One exchange on the series key that the following window steps share.
+
+    The number of partitions is the configured one, explicitly: gap filling multiplies rows after the
+    exchange, which merging of small partitions by their bytes cannot know.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def fill_weeks(weekly: DataFrame, keys: Sequence[str], date: str = "ds", value: str = "y") -> DataFrame:
     """Dense Monday grid per series between its first and last row; missing weeks get 0.
 
-    Each row also emits the empty weeks up to the next row of its series, so that one exchange on
-    the series key does the whole work: no grid table and no join. The number of partitions is set
-    explicitly because rows grow after the exchange, which size-based merging of small partitions
-    cannot know.
+    Each row also emits the empty weeks up to the next row of its series: no grid table, no join, and
+    no exchange beyond the one on the series key.
     """
-    width = int(weekly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    weekly = weekly.repartition(width, *keys)
     order = Window.partitionBy(*keys).orderBy(date)
     gap = F.coalesce((F.datediff(F.lead(date).over(order), F.col(date)) / 7).cast("int"), F.lit(1))
     stepped = weekly.withColumn("_gap", gap).withColumn("_step", F.explode(F.sequence(F.lit(0), F.col("_gap") - 1)))
@@ -35,13 +40,6 @@ def fill_weeks(weekly: DataFrame, keys: Sequence[str], date: str = "ds", value:
     }).drop("_gap", "_step")
 
 
-def weekly_grid(registry: DataFrame, date: str = "ds") -> DataFrame:
-    """The bare grid: every Monday from the first to the last week of each registered series."""
-    weeks = F.sequence("first_week_date", "last_week_date", F.expr("interval 7 days"))
-    return registry.where("first_week_date is not null and last_week_date is not null").withColumn(
-        date, F.explode(weeks).cast("date"))
-
-
 def series_statistics(dense: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
     """Length, zero counts, moments and quartiles per series. A group is one series, so its size is
     bounded by the number of weeks."""
@@ -68,7 +66,8 @@ def series_statistics(dense: DataFrame, keys: Sequence[str], date: str, value: s
 
 
 def all_series(fact: DataFrame) -> DataFrame:
-    dense = fill_weeks(fact.select(*SERIES_KEY, "week_date", "units_sold"), SERIES_KEY, "week_date", "units_sold")
+    rows = by_series(fact.select(*SERIES_KEY, "week_date", "units_sold"), SERIES_KEY)
+    dense = fill_weeks(rows, SERIES_KEY, "week_date", "units_sold")
     return series_statistics(dense, SERIES_KEY, "week_date", "units_sold")
 
 
@@ -98,15 +97,8 @@ def fact_with_series_id(fact: DataFrame, registry: DataFrame) -> DataFrame:
 
 def series_spine(fact_with_id: DataFrame, registry: DataFrame) -> DataFrame:
     """Weekly spine of the registered series with zero-filled units and the series statistics."""
-    grid = weekly_grid(registry.select("time_series_id", "first_week_date", "last_week_date"), "week_date")
-    sold = fact_with_id.select("time_series_id", "week_date", "units_sold")
-    meta = registry.drop("first_week_date", "last_week_date")
-    return (
-        grid.drop("first_week_date", "last_week_date")
-        .join(sold, ["time_series_id", "week_date"], "left")
-        .withColumn("units_sold", F.coalesce("units_sold", F.lit(0)))
-        .join(meta, "time_series_id", "left")
-    )
+    dense = fill_weeks(by_series(fact_with_id, ["time_series_id"]), ["time_series_id"], "week_date", "units_sold")
+    return dense.join(registry.drop(*SERIES_KEY), "time_series_id", "left")
 
 
 def level_id(level: Sequence[str]) -> Column:

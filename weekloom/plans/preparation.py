@@ -23,14 +23,37 @@ def model_weekly(tables: RetailTables) -> DataFrame:
     return P.hierarchy_panel(weekly, MODEL_LEVELS)
 
 
-def segmented_panel(tables: RetailTables) -> DataFrame:
-    """Gap-filled panel with the maturity segment of each series."""
-    dense = P.fill_weeks(model_weekly(tables).select("unique_id", "ds", "y"), ["unique_id"])
-    return demand.segment_panel(dense, last_sales_week(tables))
+def segmented_weekly(tables: RetailTables) -> DataFrame:
+    """Weekly rows (gaps not filled) with the maturity segment of their series."""
+    rows = P.by_series(model_weekly(tables).select("unique_id", "ds", "y"), ["unique_id"])
+    return demand.segment_weekly(rows, last_sales_week(tables))
 
 
 def valid_panel(tables: RetailTables) -> DataFrame:
-    return segmented_panel(tables).where(F.col("segment") == "valid").select("unique_id", "ds", "y")
+    """Gap-filled weeks of the valid series."""
+    rows = segmented_weekly(tables).where(F.col("segment") == "valid").select("unique_id", "ds", "y")
+    return P.fill_weeks(rows, ["unique_id"])
+
+
+def excluded_panel(tables: RetailTables) -> DataFrame:
+    """Gap-filled weeks of the other series, with the reason."""
+    rows = segmented_weekly(tables).where(F.col("segment") != "valid")
+    return P.fill_weeks(rows, ["unique_id"])
+
+
+def series_segments(tables: RetailTables) -> DataFrame:
+    """One row per series: segment and weeks since the last sale."""
+    ends = model_weekly(tables).groupBy("unique_id").agg(F.min("ds").alias("_first"), F.max("ds").alias("last_week_date"))
+    length = F.datediff("last_week_date", "_first") / 7 + 1
+    return demand.segment_by_maturity(
+        ends.withColumn("total_weeks_length", length), "unique_id", last_sales_week(tables))
+
+
+def last_valid_week(tables: RetailTables) -> DataFrame:
+    """One row: the last week of any valid series, without filling gaps."""
+    ends = model_weekly(tables).groupBy("unique_id").agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"))
+    segment, _ = demand.maturity_columns(F.datediff("_last", "_first") / 7 + 1, F.col("_last"), last_sales_week(tables))
+    return ends.where(segment == "valid").agg(F.max("_last").alias("last_week"))
 
 
 def treated_panel(tables: RetailTables) -> DataFrame:
