@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weekloom.functions.ranks import global_row_number
 from weekloom.operators import evaluation as EV, lags as L, panel as P
+from weekloom.session import pin
 
 
 @dataclass(frozen=True)
@@ -84,7 +85,9 @@ def fit(dataset: DataFrame, params: TreeParams, exogenous: Sequence[str]) -> Tre
         labelCol="y", featuresCol="features", stepSize=params.step_size, maxIter=params.max_iter,
         maxDepth=params.max_depth, featureSubsetStrategy=str(params.feature_fraction),
         subsamplingRate=params.row_fraction, seed=params.seed, maxMemoryInMB=512)
-    model = booster.fit(_assemble(matrix.where(F.col("y").isNotNull()), features).select("features", "y"))
+    # boosting reads the rows once per tree level, so they are written once
+    rows = pin(_assemble(matrix.where(F.col("y").isNotNull()), features).select("features", "y"))
+    model = booster.fit(rows)
     return TreeFit(model, params, features, scale)
 
 

@@ -14,7 +14,7 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_raw_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     """The same raw columns from a DataFrame that holds one CSV line per row."""
-    parsed = F.from_csv(F.col(column), F.lit(RAW_SALES.simpleString()[7:-1].replace(":", " ")))
+    parsed = F.from_csv(F.col(column), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_SALES))
     return lines.select(parsed.alias("r")).select("r.*")
 
 
