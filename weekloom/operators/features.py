@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekloom.functions import dates as D
-from weekloom.functions.ranks import global_row_number
+from weekloom.functions.ranks import rank_in_group
 from weekloom.functions.text import contains_any, fold_accents
 
 STATIC_COLUMNS = [
@@ -50,14 +50,16 @@ def calendar_features(panel: DataFrame, date: str = "ds") -> DataFrame:
 def ordinal_codes(df: DataFrame, *columns: str) -> DataFrame:
     """Replace category columns by their 0-based code in sorted order; missing becomes -1.
 
-    The dictionary of a column is its distinct values, numbered without a single-task sort; Spark
-    broadcasts it only while it is small.
+    The dictionary of a column is its distinct values; all dictionaries are numbered in one pass
+    without a single-task sort, and Spark broadcasts one only while it is small.
     """
+    cells = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_v")) for c in columns])
+    known = df.select(F.explode(cells).alias("s")).select("s.*").where("_v is not null").distinct()
+    codes = rank_in_group(known, ["_c"], ["_v"], "_code")
     for c in columns:
-        known = df.select(F.col(c).alias("_v")).where(F.col(c).isNotNull()).distinct()
-        codes = global_row_number(known, ["_v"], "_code").withColumn("_code", F.col("_code") - 1)
+        mine = codes.where(F.col("_c") == c).select("_v", (F.col("_code") - 1).alias("_code"))
         df = (
-            df.join(codes, F.col(c) == F.col("_v"), "left")
+            df.join(mine, F.col(c) == F.col("_v"), "left")
             .withColumn(c, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_v", "_code")
         )
     return df
@@ -141,10 +143,15 @@ def holiday_features(weeks: DataFrame, holidays: DataFrame, region_states: DataF
     }).drop("_at", "_hit")
 
 
-def weeks_through_horizon(panel: DataFrame, h: int, date: str = "ds") -> DataFrame:
-    """Every Monday from the first week of the panel through ``h`` weeks after its last."""
-    span = panel.agg(F.min(date).alias("lo"), F.date_add(F.max(date), 7 * h).alias("hi"))
-    return span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("ds"))
+def date_span(panel: DataFrame, date: str = "ds") -> DataFrame:
+    """One row with the first and the last week of a panel: ``ds_min, ds_max``."""
+    return panel.agg(F.min(date).alias("ds_min"), F.max(date).alias("ds_max"))
+
+
+def weeks_through_horizon(span: DataFrame, h: int) -> DataFrame:
+    """Every Monday from the first week of the span through ``h`` weeks after its last."""
+    end = F.date_add("ds_max", 7 * h)
+    return span.select(F.explode(F.sequence("ds_min", end, F.expr("interval 7 days"))).alias("ds"))
 
 
 def holiday_totals(features: DataFrame, region_id: int) -> DataFrame:
@@ -176,21 +183,19 @@ def weekly_weather(daily: DataFrame, closing_monday: bool = True) -> DataFrame:
     })
 
 
-def fetch_range(panel: DataFrame, h: int, lag_weeks: int = WEATHER_LAG_WEEKS, date: str = "ds") -> DataFrame:
-    """Source dates needed so that the shifted weather covers the panel and ``h`` further weeks."""
-    first, last = F.min(date), F.max(date)
-    return panel.agg(
-        F.date_sub(first, 7 * lag_weeks).alias("fetch_start"),
-        F.date_add(last, 7 * (h - lag_weeks)).alias("fetch_end"),
-        first.alias("ds_min"), F.date_add(last, 7 * h).alias("ds_end"),
+def fetch_range(span: DataFrame, h: int, lag_weeks: int = WEATHER_LAG_WEEKS) -> DataFrame:
+    """Source dates needed so that the shifted weather covers the span and ``h`` further weeks."""
+    return span.select(
+        F.date_sub("ds_min", 7 * lag_weeks).alias("fetch_start"),
+        F.date_add("ds_max", 7 * (h - lag_weeks)).alias("fetch_end"),
     )
 
 
-def shifted_weather(weekly: DataFrame, panel: DataFrame, h: int, lag_weeks: int = WEATHER_LAG_WEEKS) -> DataFrame:
-    """Weather moved ``lag_weeks`` ahead and kept within the panel span plus ``h`` weeks."""
-    span = panel.agg(F.min("ds").alias("lo"), F.date_add(F.max("ds"), 7 * h).alias("hi"))
+def shifted_weather(weekly: DataFrame, span: DataFrame, h: int, lag_weeks: int = WEATHER_LAG_WEEKS) -> DataFrame:
+    """Weather moved ``lag_weeks`` ahead and kept within the span plus ``h`` weeks."""
     moved = weekly.withColumn("ds", F.date_add("ds", 7 * lag_weeks))
-    return moved.where(F.col("ds").between(span.select("lo").scalar(), span.select("hi").scalar()))
+    end = span.select(F.date_add("ds_max", 7 * h)).scalar()
+    return moved.where(F.col("ds").between(span.select("ds_min").scalar(), end))
 
 
 # -- assembly ----------------------------------------------------------------

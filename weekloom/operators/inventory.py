@@ -73,12 +73,12 @@ def coverage_picks(coverage: DataFrame, column: str = "coverage_q95", best: int
 
 def series_stock_summary(results: DataFrame) -> DataFrame:
     """Distribution of the mean safety stock over series: count, mean, spread and quantiles."""
-    mean = results.where("safety_stock is not null").groupBy("unique_id").agg(F.avg("safety_stock").alias("v"))
-    moments = mean.agg(F.count(F.lit(1)).alias("n_series"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+    mean = results.where("safety_stock is not null").groupBy("unique_id").agg(
+        F.avg("safety_stock").alias("v"), F.lit(1).alias("_all"))
+    moments = mean.groupBy("_all").agg(F.count(F.lit(1)).alias("n_series"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
                        F.min("v").alias("min"), F.max("v").alias("max"))
     probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
-    q = exact_quantiles(mean, [], "v", probs)
-    return moments.withColumns({p: q.select(p).scalar() for p in probs})
+    return moments.join(exact_quantiles(mean, ["_all"], "v", probs), "_all").drop("_all")
 
 
 def weekly_stock_summary(results: DataFrame) -> DataFrame:

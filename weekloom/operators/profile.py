@@ -51,12 +51,12 @@ def entity_counts(weekly: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of a numeric column, exact at any size."""
-    moments = df.agg(
+    rows = df.select(column, F.lit(1).alias("_all"))
+    moments = rows.groupBy("_all").agg(
         F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
         F.min(column).cast("double").alias("min"), F.max(column).cast("double").alias("max"))
     probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    q = exact_quantiles(df, [], column, probs)
-    return moments.withColumns({p: q.select(p).scalar() for p in probs})
+    return moments.join(exact_quantiles(rows, ["_all"], column, probs), "_all").drop("_all")
 
 
 def integrity_report(panel: DataFrame, columns: Sequence[str], key: Sequence[str], value: str) -> DataFrame:

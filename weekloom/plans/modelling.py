@@ -11,6 +11,7 @@ from weekloom.operators import dimensions as DIM, evaluation as EV, features as
 from weekloom.operators import inventory as INV, trees as TR
 from weekloom.plans import preparation as PREP
 from weekloom.sources import holidays as H
+from weekloom.session import pin
 from weekloom.sources.retail import RetailTables
 
 HORIZON = 4
@@ -49,20 +50,26 @@ class Modelling:
         """One row per series; the panel is already partitioned by the series."""
         return FC.pack(self.panel, ("unique_id",), ("demand_type",))
 
+    @cached_property
+    def span(self) -> DataFrame:
+        """First and last week of the panel: one row, written once because many steps ask for it."""
+        return pin(PREP.valid_span(self.tables))
+
     @property
     def cutoff(self) -> Column:
         """Last training week of the hold-out split."""
-        return PREP.last_valid_week(self.tables).select(F.date_sub("last_week", 7 * self.h)).scalar()
+        return self.span.select(F.date_sub("ds_max", 7 * self.h)).scalar()
 
     # -- features --------------------------------------------------------------
 
     @cached_property
     def static(self) -> DataFrame:
         """Supplier, region and product codes of each series; -1 where a level has no product."""
-        bronze = self.tables.sales(attributes=True)
+        bronze = self.tables.sales(region=False, attributes=True)
         products = DIM.product_dimension(bronze).drop("product_name")
         part = F.split("unique_id", "/")
-        ids = self.panel.select("unique_id").distinct().select(
+        valid = PREP.series_segments(self.tables).where(F.col("segment") == "valid")
+        ids = valid.select(
             "unique_id", part[0].cast("bigint").alias("supplier_id"),
             F.try_element_at(part, F.lit(2)).alias("product_id"))
         rows = (
@@ -74,7 +81,7 @@ class Modelling:
 
     @cached_property
     def weeks(self) -> DataFrame:
-        return FE.weeks_through_horizon(self.panel, self.h)
+        return FE.weeks_through_horizon(self.span, self.h)
 
     @cached_property
     def holidays(self) -> DataFrame:
@@ -84,7 +91,7 @@ class Modelling:
     @cached_property
     def weather(self) -> DataFrame:
         weekly = FE.weekly_weather(self.tables.weather_daily())
-        return FE.shifted_weather(weekly, self.panel, self.h)
+        return FE.shifted_weather(weekly, self.span, self.h)
 
     @cached_property
     def dataset(self) -> DataFrame:
@@ -154,7 +161,7 @@ class Modelling:
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)
-        ref = PREP.last_valid_week(self.tables).scalar()
+        ref = self.span.select("ds_max").scalar()
         return out.select("unique_id", "ds", "y_pred", "demand_type", "model", ref.alias("ref_date"),
                           run_date.alias("run_date"))
 
@@ -184,12 +191,14 @@ class Modelling:
     def quantile_rows(self, models: Mapping[str, str] = PER_SERIES_MODELS, n_windows: int = EV.N_WINDOWS) -> DataFrame:
         """Test weeks with point forecast, quantiles and safety stock; residuals come from rolling
         windows inside the training part."""
-        train = self.held_out.drop("actual", "naive_mae")
+        # the packed series feed both the residual windows and the point forecast
+        held_out = pin(self.held_out)
+        train = held_out.drop("actual", "naive_mae")
         where: dict[str, Column] = {}
         for kind, model in models.items():
             where[model] = where.get(model, F.lit(False)) | (F.col("demand_type") == kind)
         cv = EV.cv_forecasts(train, where, self.h, n_windows, self.h, keep=("unique_id", "demand_type"))
         residuals = INV.residual_quantiles(cv)
-        point = EV.test_rows(FC.route(self.held_out, models, self.h, "_fc"), {"y_pred": "_fc"},
+        point = EV.test_rows(FC.route(held_out, models, self.h, "_fc"), {"y_pred": "_fc"},
                              ["unique_id", "demand_type"])
         return INV.safety_stock(INV.quantile_forecast(point, residuals))

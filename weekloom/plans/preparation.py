@@ -49,11 +49,11 @@ def series_segments(tables: RetailTables) -> DataFrame:
         ends.withColumn("total_weeks_length", length), "unique_id", last_sales_week(tables))
 
 
-def last_valid_week(tables: RetailTables) -> DataFrame:
-    """One row: the last week of any valid series, without filling gaps."""
+def valid_span(tables: RetailTables) -> DataFrame:
+    """One row: the first and the last week of any valid series, without filling gaps."""
     ends = model_weekly(tables).groupBy("unique_id").agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"))
     segment, _ = demand.maturity_columns(F.datediff("_last", "_first") / 7 + 1, F.col("_last"), last_sales_week(tables))
-    return ends.where(segment == "valid").agg(F.max("_last").alias("last_week"))
+    return ends.where(segment == "valid").agg(F.min("_first").alias("ds_min"), F.max("_last").alias("ds_max"))
 
 
 def treated_panel(tables: RetailTables) -> DataFrame:

@@ -78,7 +78,7 @@ class RetailTables:
             .join(self.regions(), F.col("n_regionkey") == F.col("r_regionkey"))
             .select("c_custkey", "region_id")
         )
-        heat = F.col("o_totalprice") / 12500
+        heat = F.col("o_totalprice") / 12347
         return (
             o.join(geo, F.col("o_custkey") == F.col("c_custkey"))
             .groupBy(F.col("o_orderdate").cast("date").alias("date"), "region_id")

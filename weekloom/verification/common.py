@@ -12,6 +12,7 @@ from weekloom.sources.retail import RetailTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
+NUDGE = 1e-9
 H = 4
 
 
@@ -43,15 +44,18 @@ class Inputs:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles rounded to ``DIGITS``, since engines add in different orders."""
+    """Doubles rounded to ``DIGITS``, since engines add in different orders.
+
+    ``NUDGE`` moves exact decimal ties off the rounding edge, where the last bit would decide.
+    """
     return df.select(*[
-        F.round(f.name, DIGITS).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        F.round(F.col(f.name) + NUDGE, DIGITS).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
 
 
 def r(expression: str) -> str:
-    return f"(round(CAST({expression} AS DOUBLE), {DIGITS}) + 0.0)"
+    return f"(round(CAST({expression} AS DOUBLE) + {NUDGE}::DOUBLE, {DIGITS}) + 0.0)"
 
 
 # -- named table expressions ---------------------------------------------------
@@ -165,15 +169,15 @@ CTES: dict[str, str] = {
     "years": """
         SELECT unnest(range(year(min(l_shipdate)), year(max(CAST(l_shipdate AS DATE)) + 34) + 1)) AS y FROM lineitem""",
     "wxd": """
-        SELECT CAST(o_orderdate AS DATE) AS date, region_id, max(o_totalprice / 12500) AS temperature_2m_max,
-               min(o_totalprice / 12500) AS temperature_2m_min, avg(o_totalprice / 12500) AS temperature_2m_mean,
+        SELECT CAST(o_orderdate AS DATE) AS date, region_id, max(o_totalprice / 12347) AS temperature_2m_max,
+               min(o_totalprice / 12347) AS temperature_2m_min, avg(o_totalprice / 12347) AS temperature_2m_mean,
                count(*) * 5.0 AS precipitation_sum, CAST(max(o_orderkey % 80) AS DOUBLE) AS windspeed_10m_max
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
              JOIN regions ON n_regionkey = r_regionkey GROUP BY 1, 2""",
     "wx": """
         SELECT ds, region_id, temp_max, temp_min, temp_mean, precip, wind_max, CAST(temp_mean < 15 AS INTEGER) AS is_cold,
                CAST(temp_mean > 30 AS INTEGER) AS is_hot, CAST(precip > 50 AS INTEGER) AS is_rainy
-        FROM (SELECT CAST(date + (8 - isodow(date)) % 7 + 364 AS DATE) AS ds, region_id, max(temperature_2m_max) AS temp_max,
+        FROM (SELECT CAST(date + CAST((8 - isodow(date)) % 7 + 364 AS INTEGER) AS DATE) AS ds, region_id, max(temperature_2m_max) AS temp_max,
                      min(temperature_2m_min) AS temp_min, avg(temperature_2m_mean) AS temp_mean,
                      sum(precipitation_sum) AS precip, max(windspeed_10m_max) AS wind_max
               FROM wxd GROUP BY 1, 2), (SELECT min(ds) AS lo, max(ds) + 28 AS hi FROM rp)

@@ -95,7 +95,7 @@ def holiday_summary(i: Inputs):
     FROM wx, (SELECT min(ds) - 364 AS fetch_start, max(ds) + 28 - 364 AS fetch_end FROM rp)"""))
 def weather_weekly(i: Inputs):
     """Shifted weekly weather with the source range it was asked from."""
-    span = FE.fetch_range(i.model.panel, H)
+    span = FE.fetch_range(i.model.span, H)
     return i.model.weather.withColumns({c: span.select(c).scalar() for c in ("fetch_start", "fetch_end")})
 
 
@@ -150,15 +150,12 @@ def future_exog(i: Inputs):
     return i.model.future_exogenous
 
 
-def _lag_sql(lags, window: int | None, expanding: bool = False, table: str = "o") -> str:
+def _lag_sql(lags, window: int, table: str = "o") -> str:
     parts = []
     for k in lags:
         parts.append(f"{r(f'lag(y, {k}) OVER {table}')} AS lag{k}")
-        if expanding:
-            parts.append(r(f"avg(y) OVER ({table} ROWS BETWEEN UNBOUNDED PRECEDING AND {k} PRECEDING)") + f" AS expanding_mean_lag{k}")
-        if window:
-            frame = f"({table} ROWS BETWEEN {k + window - 1} PRECEDING AND {k} PRECEDING)"
-            parts.append(f"CASE WHEN count(*) OVER {frame} = {window} THEN {r(f'avg(y) OVER {frame}')} END AS rolling_mean_lag{k}_window_size{window}")
+        frame = f"({table} ROWS BETWEEN {k + window - 1} PRECEDING AND {k} PRECEDING)"
+        parts.append(f"CASE WHEN count(*) OVER {frame} = {window} THEN {r(f'avg(y) OVER {frame}')} END AS rolling_mean_lag{k}_window_size{window}")
     return ", ".join(parts)
 
 
@@ -169,7 +166,8 @@ DATE_PARTS = "CAST(month(ds) AS INTEGER) AS month, CAST(quarter(ds) AS INTEGER)
 
 
 @AREA.query("lag_features", sql(f"""
-    SELECT unique_id, ds, {r('y')} AS y, {_lag_sql([4, 8, 13, 26, 52], 13)}, {_lag_sql([4], None, True).split(', ', 1)[1]}, {DATE_PARTS}
+    SELECT unique_id, ds, {r('y')} AS y, {_lag_sql([4, 8, 13, 26, 52], 13)},
+           {r("avg(y) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 4 PRECEDING)")} AS expanding_mean_lag4, {DATE_PARTS}
     FROM {EXTENDED} WINDOW o AS (PARTITION BY unique_id ORDER BY ds)"""))
 def lag_features(i: Inputs):
     """Long preset with rolling means for history and horizon, plus an expanding mean."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weekloom.operators import evaluation as EV, forecasters as FC, inventory as INV, panel as P, trees as TR
 from weekloom.plans.modelling import PER_SERIES_MODELS, TREE_FEATURES
+from weekloom.session import pin
 from weekloom.sources import sinks as K
 from weekloom.verification.common import CTES, H, Inputs, Registry, r, sql
 from weekloom.verification.warehouse import scratch
@@ -157,8 +158,8 @@ for _name, _model in FORECAST_QUERIES.items():
     _register(_name, _model)
 
 
-@AREA.query("fc_custom_udf", sql("""
-    SELECT unique_id, CAST(last_ds + 7 * step AS DATE) AS ds, round((ys[n] + ys[n - 1] + ys[n - 2]) / 3, 6) + 0.0 AS y_pred
+@AREA.query("fc_custom_udf", sql(f"""
+    SELECT unique_id, CAST(last_ds + 7 * step AS DATE) AS ds, {r('(ys[n] + ys[n - 1] + ys[n - 2]) / 3')} AS y_pred
     FROM packs, (SELECT unnest([1, 2, 3, 4]) AS step)"""))
 def fc_custom_udf(i: Inputs):
     """A user's Python forecaster: mean of the last three weeks."""
@@ -177,7 +178,7 @@ CTES["hop"] = prepared("ho", "unique_id", ALL_MODELS)[1:-1]
 CTES["bt"] = f"""
     SELECT unique_id, CAST(last_ds + 7 * k AS DATE) AS ds, actual[k] AS y, fc[k] AS y_pred, fb[k] AS y_baseline, demand_type,
            naive_mae, cutoff
-    FROM (SELECT *, unnest(range(1, len(actual) + 1)) AS k FROM (
+    FROM (SELECT *, CAST(unnest(range(1, len(actual) + 1)) AS INTEGER) AS k FROM (
         SELECT *, {routed_sql('hop', 'unique_id', PER_SERIES_MODELS, 'fc')}, {routed_sql('hop', 'unique_id', FC.BASELINES, 'fb')},
                nullif(list_avg(list_transform(range(2, n + 1), lambda i: abs(ys[i] - ys[i - 1]))), 0) AS naive_mae FROM hop))"""
 CASE_MODEL = "CASE demand_type " + " ".join(f"WHEN '{k}' THEN '{m}'" for k, m in PER_SERIES_MODELS.items()) + " END"
@@ -393,7 +394,7 @@ COVERAGE = "SELECT unique_id, avg(CASE WHEN y <= q95 + 1e-9 THEN 1.0 ELSE 0.0 EN
            WHEN k <= 2 THEN 'Low coverage' END AS quality
     FROM (SELECT *, row_number() OVER (ORDER BY c, unique_id) AS k, count(*) OVER () AS n FROM ({COVERAGE}))"""))
 def coverage_by_series(i: Inputs):
-    rows = i.model.quantile_rows()
+    rows = pin(i.model.quantile_rows())
     cover = INV.coverage_by_series(rows.withColumn("q95", F.col("q95") + 1e-9))
     return cover.join(INV.coverage_picks(cover).select("unique_id", "quality"), "unique_id", "left")
 
@@ -407,7 +408,7 @@ def coverage_by_series(i: Inputs):
     FROM qf WHERE safety_stock IS NOT NULL GROUP BY ds""".replace("WITH_SERIES", "")))
 def safety_stock_summary(i: Inputs):
     """Distribution over series and mean / median per forecast week."""
-    rows = i.model.quantile_rows()
+    rows = pin(i.model.quantile_rows())
     series = INV.series_stock_summary(rows).select(
         F.lit("series").alias("scope"), F.lit(None).cast("date").alias("ds"), F.col("n_series").alias("n"), "mean",
         F.col("p50").alias("median"), "std", "p75", "p95")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weekloom.verification import demand, features, forecasts, warehouse
+from weekloom.verification import demand, explore, features, forecasts, warehouse
 
-AREAS = [warehouse.AREA, demand.AREA, features.AREA, forecasts.AREA]
+AREAS = [warehouse.AREA, explore.AREA, demand.AREA, features.AREA, forecasts.AREA]
 
 
 def all_queries():
