@@ -61,8 +61,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     Equal values are counted first (combined before the shuffle). Bucket totals then tell in which
     bucket each wanted rank lies, and only those buckets are sorted.
     """
-    keys = list(keys) or ["_all"]
-    src = df if keys != ["_all"] else df.withColumn("_all", F.lit(1))
+    grouped = bool(keys)
+    keys = list(keys) if grouped else ["_whole"]
+    src = df if grouped else df.withColumn("_whole", F.lit(1))
     counts = (
         src.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
@@ -106,4 +107,4 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
             F.sum(F.when(F.col("_t.q") == name, F.col("_t.w") * F.col("_v"))).alias(name) for name in probs
         ])
     )
-    return found if keys != ["_all"] else found.drop("_all")
+    return found if grouped else found.drop("_whole")
