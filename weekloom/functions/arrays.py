@@ -94,12 +94,17 @@ def grid_smoothed_level(arr: Column, alphas: Sequence[float]) -> Column:
 
 
 def bucket_sums(arr: Column, length: Column) -> Column:
-    """Sums of consecutive buckets of ``length``; the oldest incomplete bucket is dropped."""
+    """Sums of consecutive buckets of ``length``; the oldest incomplete bucket is dropped.
+
+    Elements are read by position: ``slice`` copies the whole array on every call.
+    """
     def sums(values: Column, size: Column) -> Column:
         skip = F.size(values) % size
         starts = F.when(
             F.size(values) >= size, F.sequence(skip + 1, F.size(values) - size + 1, size)
         ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: array_total(F.slice(values, i, size)))
+        bucket = F.transform(starts, lambda i: F.aggregate(
+            F.sequence(i, i + size - 1), F.lit(0.0), lambda acc, k: acc + F.element_at(values, k)))
+        return F.when(size == 1, values).otherwise(bucket)
 
     return let_all(sums, values=arr, size=length)

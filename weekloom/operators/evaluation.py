@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -211,13 +211,17 @@ def select_models(scores: DataFrame, kinds: DataFrame) -> DataFrame:
         "demand_type", F.coalesce("b.model", F.lit(FC.DEFAULT_MODEL)).alias("model"), F.col("b.cv_wape").alias("cv_wape"))
 
 
-def improvement(scores: DataFrame) -> DataFrame:
-    """WAPE change in percent of the baseline per demand type from ``(demand_type, model, wape)`` rows."""
-    side = scores.groupBy("demand_type").agg(
-        F.max(F.when(F.col("model") == "Baseline", F.col("wape"))).alias("b"),
-        F.max(F.when(F.col("model") == "Trained", F.col("wape"))).alias("t"))
-    return side.select("demand_type", ((F.col("b") - F.col("t")) / F.nullif(F.col("b"), F.lit(0.0)) * 100)
-                       .alias("delta_wape_pct"))
+def improvement_expr(over: Callable[[Column], Column] = lambda c: c) -> Column:
+    """WAPE change in percent of the baseline, from the ``Baseline`` and ``Trained`` rows of a group."""
+    base = over(F.max(F.when(F.col("model") == "Baseline", F.col("wape"))))
+    trained = over(F.max(F.when(F.col("model") == "Trained", F.col("wape"))))
+    return (base - trained) / F.nullif(base, F.lit(0.0)) * 100
+
+
+def with_improvement(scores: DataFrame) -> DataFrame:
+    """Add ``delta_wape_pct`` to the two score rows of each demand type."""
+    pair = Window.partitionBy("demand_type")
+    return scores.withColumn("delta_wape_pct", improvement_expr(lambda c: c.over(pair)))
 
 
 # -- per-series quality ----------------------------------------------------------

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekloom.functions import dates as D
 from weekloom.functions.ranks import exact_quantiles
+from weekloom.session import pin
 
 
 def total_by(sales: DataFrame, *keys: str, value: str = "units_sold") -> DataFrame:
@@ -160,8 +161,9 @@ def cv_cascade(dense: DataFrame, keys: Sequence[str]) -> DataFrame:
     nat = dense.groupBy("ds").agg(F.sum("y").alias("y")).agg(
         F.avg("y").alias("m"), F.stddev_samp("y").alias("s")).select(
         F.lit("national").alias("level"), F.when(F.col("m") > 0, F.col("s") / F.col("m")).otherwise(F.lit(0.0)).alias("cv"))
-    rows = nat.unionByName(spread(["region_id"], "region")).unionByName(spread(["supplier_id"], "supplier")) \
-        .unionByName(spread(keys, "series"))
+    rows = pin(
+        nat.unionByName(spread(["region_id"], "region")).unionByName(spread(["supplier_id"], "supplier"))
+        .unionByName(spread(keys, "series")))
     ends = rows.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.min("cv").alias("min_cv"), F.max("cv").alias("max_cv"))
     return ends.join(exact_quantiles(rows, ["level"], "cv", {"median_cv": 0.5}), "level")
 

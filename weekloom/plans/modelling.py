@@ -177,8 +177,9 @@ class Modelling:
         fields = ["mase", "smape", "wape", "n_series"]
         sides = scores.groupBy("demand_type").agg(
             F.max(F.when(F.col("model") == "Baseline", F.struct(*fields))).alias("baseline_metrics"),
-            F.max(F.when(F.col("model") == "Trained", F.struct(*fields))).alias("model_metrics"))
-        return sides.join(F.broadcast(EV.improvement(scores)), "demand_type").join(
+            F.max(F.when(F.col("model") == "Trained", F.struct(*fields))).alias("model_metrics"),
+            EV.improvement_expr().alias("delta_wape_pct"))
+        return sides.join(
             F.broadcast(chosen.withColumnRenamed("model", "model_col")), "demand_type", "left").select(
             "demand_type", F.lit("PerSeries").alias("class"),
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("saved_at"),

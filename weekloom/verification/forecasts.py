@@ -240,9 +240,8 @@ def forecast_metrics(i: Inputs):
            {r('(max(CASE WHEN model = ' + chr(39) + 'Baseline' + chr(39) + ' THEN wape END) OVER p - max(CASE WHEN model = ' + chr(39) + 'Trained' + chr(39) + ' THEN wape END) OVER p) / max(CASE WHEN model = ' + chr(39) + 'Baseline' + chr(39) + ' THEN wape END) OVER p * 100')} AS delta_wape_pct
     FROM scored WINDOW p AS (PARTITION BY demand_type)"""))
 def model_vs_baseline(i: Inputs):
-    scores = i.model.scores(i.model.backtest(PER_SERIES_MODELS, run_date()))
-    shown = scores.withColumns({c: F.round(c, 4) for c in ("mase", "smape", "wape")})
-    return shown.join(EV.improvement(scores), "demand_type", "left")
+    scores = EV.with_improvement(i.model.scores(i.model.backtest(PER_SERIES_MODELS, run_date())))
+    return scores.withColumns({c: F.round(c, 4) for c in ("mase", "smape", "wape")})
 
 
 @AREA.query("quality_picks", sql(f"""
@@ -256,8 +255,7 @@ def model_vs_baseline(i: Inputs):
 def quality_picks(i: Inputs):
     """Best, middle and worst series per type, with the type's WAPE quantiles over all series."""
     bt = i.model.backtest(PER_SERIES_MODELS, run_date())
-    # rounded so that equal errors tie in the same way whatever the order of addition
-    per = EV.series_metrics(bt, group=["demand_type"])
+    per = pin(EV.series_metrics(bt, group=["demand_type"]))
     picks = EV.quality_picks(per, "wape", ["demand_type"])
     return picks.join(EV.score_quantiles(per, "wape", ["demand_type"]), "demand_type")
 
@@ -307,7 +305,7 @@ CTES["cvs"] = f"SELECT demand_type, model, avg(wape) AS cv_wape, count(*) AS n_s
 def model_selection(i: Inputs):
     """CV score of every candidate, the winner of each type marked."""
     train = i.model.held_out.drop("actual", "naive_mae")
-    scores = EV.candidate_scores(train, FC.CANDIDATES, H)
+    scores = pin(EV.candidate_scores(train, FC.CANDIDATES, H))
     kinds = scores.select("demand_type").distinct()
     winners = EV.select_models(scores, kinds).select("demand_type", F.col("model").alias("_w"))
     return scores.join(winners, "demand_type", "left").withColumn("is_winner", F.col("model") == F.col("_w")).drop("_w")
