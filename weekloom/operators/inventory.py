@@ -90,9 +90,9 @@ def weekly_stock_summary(results: DataFrame) -> DataFrame:
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Counts in ``bins`` equal bins between the minimum and the maximum (last bin closed)."""
-    bounds = df.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
-    counted = df.where(F.col(column).isNotNull()).withColumns({
-        "_lo": bounds.select("lo").scalar(), "_hi": bounds.select("hi").scalar()})
+    low, high = F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")
+    bounds = df.agg(F.struct(low, high)).scalar()
+    counted = df.where(F.col(column).isNotNull()).withColumns({"_lo": bounds["lo"], "_hi": bounds["hi"]})
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.when(width > 0, F.least(F.floor((F.col(column) - F.col("_lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))).otherwise(F.lit(0))
     return counted.groupBy(at.cast("int").alias("bin")).agg(

@@ -103,7 +103,7 @@ def target_transforms(panel: DataFrame, lam: float = 0.5, keys: Sequence[str] =
     sd = F.stddev_pop("y").over(whole)
     base = panel.withColumns({
         "y": y,
-        "y_diff": difference(keys=keys),
+        "y_diff": difference(keys=keys).cast("double"),
         "scale_mean": F.avg("y").over(whole),
         "scale_std": F.when(sd > 0, sd).otherwise(F.lit(1.0)),
         "y_log1p": boxcox(y),

@@ -85,9 +85,9 @@ def integrity_report(panel: DataFrame, columns: Sequence[str], key: Sequence[str
 
 def month_grid(monthly_rows: DataFrame, key: str, date: str, value: str) -> DataFrame:
     """Every key with every month between the overall first and last month, 0 where absent."""
-    span = monthly_rows.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+    span = monthly_rows.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))).scalar()
     keys = monthly_rows.select(key).distinct()
-    months = F.sequence(span.select("lo").scalar(), span.select("hi").scalar(), F.expr("interval 1 month"))
+    months = F.sequence(span["lo"], span["hi"], F.expr("interval 1 month"))
     grid = keys.withColumn(date, F.explode(months))
     return grid.join(monthly_rows, [key, date], "left").withColumn(value, F.coalesce(value, F.lit(0)))
 
@@ -201,8 +201,8 @@ def sample_series(panel: DataFrame, n: int, seed: int, group: str = "demand_type
 
 def sampled_grid(panel: DataFrame, chosen: DataFrame, group: str = "demand_type") -> DataFrame:
     """Sampled series on the common week grid, absent weeks 0."""
-    span = panel.agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
-    weeks = F.sequence(span.select("lo").scalar(), span.select("hi").scalar(), F.expr("interval 7 days"))
+    span = panel.agg(F.struct(F.min("ds").alias("lo"), F.max("ds").alias("hi"))).scalar()
+    weeks = F.sequence(span["lo"], span["hi"], F.expr("interval 7 days"))
     grid = chosen.withColumn("ds", F.explode(weeks))
     return grid.join(panel.select("unique_id", "ds", "y"), ["unique_id", "ds"], "left").withColumn(
         "y", F.coalesce("y", F.lit(0)))

@@ -197,7 +197,7 @@ CTES["scored"] = """
     SELECT demand_type, model, avg(mase) AS mase, avg(smape) AS smape, avg(wape) AS wape, count(*) AS n_series FROM per GROUP BY 1, 2"""
 
 
-@AREA.query("rank_aligned_eval", sql(f"SELECT unique_id, ds, y, {r('y_baseline')} AS y_pred FROM bt WHERE demand_type IN ('intermittent', 'lumpy')"))
+@AREA.query("rank_aligned_eval", sql(f"SELECT unique_id, ds, CAST(y AS BIGINT) AS y, {r('y_baseline')} AS y_pred FROM bt WHERE demand_type IN ('intermittent', 'lumpy')"))
 def rank_aligned_eval(i: Inputs):
     """Test rows joined to forecasts by their position in the series."""
     panel = i.model.panel.where(F.col("demand_type").isin("intermittent", "lumpy")).select("unique_id", "ds", "y")
