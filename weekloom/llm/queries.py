@@ -62,7 +62,7 @@ WITH texts AS (
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM texts)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
 ), figures AS (
-  SELECT doc_id, t, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, t, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_lines, 0) AS n_lines,
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
          length(regexp_replace(t, '\PL', '', 'g')) AS n_letters,
