@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import licenses, quality, url_rules
+from weekloom.llm import licenses, quality, secrets, url_rules
 from weekloom.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.UrlRules(url_rules.default_rules(spark)).judge(table(spark, sf_dir, "pages"))
 
 
+def op3_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_labels(table(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_rules, op4_license_rules, op9_quality_cascade)
+    f.__name__: f for f in (op2_url_rules, op3_credential_linking, op4_license_rules, op9_quality_cascade)
 }
 
 ORACLES: dict[str, str] = {
