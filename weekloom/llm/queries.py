@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import licenses, quality, secrets, url_rules
+from weekloom.llm import licenses, quality, secrets, sentencepiece_codec, url_rules
 from weekloom.llm.common import table
 
 
@@ -30,8 +30,12 @@ def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.QualityCascade().fit(docs).judge(docs)
 
 
+def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_rules, op3_credential_linking, op4_license_rules, op9_quality_cascade)
+    f.__name__: f for f in (op2_url_rules, op3_credential_linking, op4_license_rules, op9_quality_cascade, op10_sentencepiece_codec)
 }
 
 ORACLES: dict[str, str] = {
