@@ -9,10 +9,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import decontaminate, licenses, pii_crf, quality, secrets, sentencepiece_codec, url_rules
+from weekloom.llm import decontaminate, lattice_lm, licenses, pii_crf, quality, secrets, sentencepiece_codec, url_rules
 from weekloom.llm.common import table
 
 
+def op1_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lattice_lm.LatticeModel().fit(docs).score(docs)
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.UrlRules(url_rules.default_rules(spark)).judge(table(spark, sf_dir, "pages"))
 
@@ -44,7 +49,7 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec)
+    f.__name__: f for f in (op1_lattice_likelihood, op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec)
 }
 
 ORACLES: dict[str, str] = {
