@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import decontaminate, lattice_lm, licenses, pii_crf, quality, secrets, sentencepiece_codec, url_rules
+from weekloom.llm import decontaminate, lattice_lm, licenses, ngram_join, pii_crf, quality, secrets, sentencepiece_codec, url_rules
 from weekloom.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op5_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.NgramJoin(table(spark, sf_dir, "documents")).documents()
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii_crf.find_personal_data(docs, pii_crf.fitted(docs))
@@ -49,7 +53,7 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lattice_likelihood, op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec)
+    f.__name__: f for f in (op1_lattice_likelihood, op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec)
 }
 
 ORACLES: dict[str, str] = {
