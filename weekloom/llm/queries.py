@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import decontaminate, lattice_lm, licenses, ngram_join, pii_crf, quality, secrets, sentencepiece_codec, url_rules
+from weekloom.llm import decontaminate, lattice_lm, licenses, ngram_join, perspectives, pii_crf, quality, secrets, sentencepiece_codec, url_rules
 from weekloom.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.NgramJoin(table(spark, sf_dir, "documents")).documents()
 
 
+def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotated(table(spark, sf_dir, "conversations"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii_crf.find_personal_data(docs, pii_crf.fitted(docs))
@@ -53,7 +57,7 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lattice_likelihood, op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec)
+    f.__name__: f for f in (op1_lattice_likelihood, op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_perspective_rotation, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec)
 }
 
 ORACLES: dict[str, str] = {
@@ -73,6 +77,26 @@ WITH parts AS (
     ON (h.host = r.rule_host OR ends_with(h.host, '.' || r.rule_host)) AND starts_with(h.path, r.rule_path)
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1
+""",
+    "op7_perspective_rotation": r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, count(*) AS times
+  FROM conversations GROUP BY ALL
+), speakers AS (
+  SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'
+), turns AS (
+  SELECT s.conv_id, p.speaker, s.turn, s.times, s.role = p.speaker AS mine,
+         CASE WHEN s.role = 'system' THEN '<|system|>' WHEN s.role = p.speaker THEN '<|assistant|>'
+              ELSE '<|user name=' || regexp_replace(s.role, '[^A-Za-z0-9_.-]', '_', 'g') || '|>' END || chr(10) AS head,
+         replace(s.text, '<|', '< |') || '<|end|>' AS body
+  FROM said s JOIN speakers p USING (conv_id)
+), placed AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, turn >> 6 ORDER BY turn) - 1 AS stop FROM turns
+)
+SELECT conv_id, speaker, turn >> 6 AS block, NULL::BIGINT AS turn, 0::INTEGER AS slice, count(*) AS n_messages, count(*) FILTER (mine) AS n_trained,
+       sum(times)::BIGINT AS n_rows, string_agg(head || body || chr(10), '' ORDER BY turn) AS text,
+       coalesce(string_agg(CAST(stop - length(body) AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY turn) FILTER (mine), '') AS mask
+FROM placed p GROUP BY conv_id, speaker, p.turn >> 6
 """,
     "op9_quality_cascade": r"""
 WITH texts AS (
