@@ -131,7 +131,9 @@ FROM judged
 }
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    import corpus_pipeline
+
+    return QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def all_oracles() -> dict[str, str]:
