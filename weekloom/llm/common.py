@@ -41,7 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def map_slices(df: DataFrame, schema: str | T.StructType, work: Callable[..., Sequence[list]], rows: int = ROWS) -> DataFrame:
     """Apply ``work`` to slices of at most ``rows`` rows, one Python list per column of ``df``.
 
-    ``work`` returns one list per column of ``schema``; the lists may be longer or shorter than the input.
+    ``work`` returns one list (or Arrow array) per column of ``schema``; they may be longer or shorter than the input.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -58,7 +58,7 @@ def map_slices(df: DataFrame, schema: str | T.StructType, work: Callable[..., Se
                 columns = work(*(part.column(i).to_pylist() for i in range(part.num_columns)))
                 assert len(columns) == width
                 if len(columns[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, arrow.field(n).type) for n, c in zip(names, columns)], names=names)
+                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, arrow.field(n).type) for n, c in zip(names, columns)], names=names)
 
     return df.mapInArrow(run, shape)
 
