@@ -14,11 +14,12 @@ _ROW_BITS = 33
 def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Number all rows 1..n in ``order`` without a single-partition sort.
 
-    Rows are range-partitioned and sorted, pinned so that positions survive task retries, and
+    The rows are pinned first, as sampling the ranges and placing the rows each read them; then they are
+    range-partitioned and sorted, pinned again so that positions survive task retries, and
     numbered by partition offset + position. ``order`` must be a unique key.
     """
     laid_out = (
-        df.repartitionByRange(*order)
+        pin(df).repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
@@ -40,10 +41,20 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], name: str) -
 
 
 def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str,
-                  size_name: str | None = None) -> DataFrame:
-    """Row number inside each group for groups of any size (``group`` + ``order`` must be unique)."""
+                  size_name: str | None = None, few_groups: bool = False) -> DataFrame:
+    """Row number inside each group for groups of any size (``group`` + ``order`` must be unique).
+
+    With ``few_groups`` the caller vouches that the number of groups does not grow with the data (demand
+    types, column names); their spans are then broadcast and the numbered rows stay where they are.
+    Without groups the whole table is one.
+    """
     numbered = global_row_number(df, [*group, *order], "_g")
+    if not group:
+        size = numbered.agg(F.count(F.lit(1))).scalar()
+        out = numbered.withColumnRenamed("_g", name)
+        return out.withColumn(size_name, size) if size_name else out
     spans = numbered.groupBy(*group).agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias("_gn"))
+    spans = F.broadcast(spans) if few_groups else spans
     out = numbered.join(spans, list(group)).withColumn(name, F.col("_g") - F.col("_g0") + 1)
     if size_name:
         out = out.withColumn(size_name, F.col("_gn"))

@@ -103,10 +103,10 @@ def hold_out(packed: DataFrame, cutoff: Column) -> DataFrame:
     """Split packed series at a date: ``ys`` keeps the weeks up to it, ``actual`` gets the later ones.
 
     A series that ended earlier has an empty ``actual``; one that started later has no training part
-    and drops out.
+    and keeps its test weeks, for which no method has a forecast.
     """
-    n_test = F.greatest(F.floor(F.datediff("last_ds", cutoff) / 7), F.lit(0)).cast("int")
-    rows = packed.withColumn("_t", n_test).where(F.col("n") > F.col("_t"))
+    n_test = F.least(F.greatest(F.floor(F.datediff("last_ds", cutoff) / 7), F.lit(0)), F.col("n")).cast("int")
+    rows = packed.withColumn("_t", n_test)
     return rows.withColumns({
         "actual": F.slice("ys", F.col("n") - F.col("_t") + 1, F.col("_t")),
         "ys": F.slice("ys", F.lit(1), F.col("n") - F.col("_t")),
@@ -229,7 +229,7 @@ def with_improvement(scores: DataFrame) -> DataFrame:
 def quality_picks(per_series: DataFrame, score: str, group: Sequence[str], best: int = 2) -> DataFrame:
     """The best two, the middle and the worst two series per group, by ascending score and id."""
     scored = per_series.where(F.col(score).isNotNull())
-    ranked = rank_in_group(scored, group, [score, "unique_id"], "_r", "_n")
+    ranked = rank_in_group(scored, group, [score, "unique_id"], "_r", "_n", few_groups=True)
     place = (
         F.when(F.col("_r") <= best, "best")
         .when(F.col("_r") == F.floor(F.col("_n") / 2) + 1, "median")

@@ -55,7 +55,7 @@ def ordinal_codes(df: DataFrame, *columns: str) -> DataFrame:
     """
     cells = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_v")) for c in columns])
     known = df.select(F.explode(cells).alias("s")).select("s.*").where("_v is not null").distinct()
-    codes = rank_in_group(known, ["_c"], ["_v"], "_code")
+    codes = rank_in_group(known, ["_c"], ["_v"], "_code", few_groups=True)
     for c in columns:
         mine = codes.where(F.col("_c") == c).select("_v", (F.col("_code") - 1).alias("_code"))
         df = (

@@ -233,12 +233,13 @@ FORECASTERS: dict[str, Forecaster] = {
     "AR": ar_on_differences,
 }
 
-# season length a method needs on top of the windows of cross-validation
-SEASON_OF = {"SeasonalNaive": SEASON, "SeasonalES": SEASON, "ETS": SEASON, "Theta": SEASON, "AR": 0}
+# fixed values: season length a method needs on top of the windows of cross-validation
+SEASON_OF = {"SeasonalNaive": SEASON, "SeasonalES": SEASON, "ETS": SEASON, "Theta": SEASON, "AR": 1}
 
-# variants of a registered method for one demand type
+# fixed values: variants of a registered method for one demand type
 SEASON_OF_TYPE = {("erratic", "AR"): 13}
 
+# fixed values: candidates and baselines of each demand type
 CANDIDATES: dict[str, list[str]] = {
     "erratic": ["AR", "ETS", "Theta", "SeasonalES", "CrostonOptimized"],
     "intermittent": ["TSB", "ADIDA", "IMAPA", "CrostonSBA", "CrostonOptimized"],
@@ -262,8 +263,8 @@ def forecaster(name: str) -> Forecaster:
 
 
 def predicted(model: str, h: int) -> Column:
-    """Forecast array of one method over the packed columns ``ys`` and ``n``."""
-    return A.let_all(lambda ys, n: forecaster(model)(ys, n, h), ys=F.col("ys"), n=F.col("n"))
+    """Forecast array of one method over the packed columns ``ys`` and ``n``; NULL where there are no values."""
+    return F.when(F.col("n") > 0, A.let_all(lambda ys, n: forecaster(model)(ys, n, h), ys=F.col("ys"), n=F.col("n")))
 
 
 def forecast(panel: DataFrame, model: str, h: int, keys: Sequence[str] = ("unique_id",)) -> DataFrame:

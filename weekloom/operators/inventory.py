@@ -7,36 +7,33 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from weekloom.functions.ranks import exact_quantiles, rank_in_group
+from weekloom.operators.profile import with_quantiles
 
 # fixed values: forecast quantiles by column name
 QUANTILES = {"q50": 0.50, "q80": 0.80, "q95": 0.95}
-MIN_RESIDUALS = 12
+# a quantile that equals the actual value up to the last bits counts as covering it
+TOLERANCE = 1e-9
 
 
-def residual_quantiles(cv: DataFrame, probs: Mapping[str, float] = QUANTILES,
-                       min_residuals: int = MIN_RESIDUALS) -> DataFrame:
-    """Empirical residual quantiles per series from ``unique_id, demand_type, y, y_pred`` rows.
+def residual_quantiles(cv: DataFrame, probs: Mapping[str, float] = QUANTILES) -> DataFrame:
+    """Quantiles per demand type of the residuals in units of their series' ``naive_mae``.
 
-    A series with few residuals takes the quantiles of its demand type. A series has at most
-    windows x horizon residuals; a type may hold any number and goes through ``exact_quantiles``.
+    One rule for all series, long or short: a type's residuals are made comparable by the naive error of
+    their series. Takes ``demand_type, y, y_pred, naive_mae`` rows; those of a series without a naive error
+    (constant, or a single value) have no unit and are left out.
     """
-    resid = cv.select("unique_id", "demand_type", (F.col("y") - F.col("y_pred")).alias("r")).where("r is not null")
-    own = resid.groupBy("unique_id", "demand_type").agg(
-        F.count(F.lit(1)).alias("n_resid"),
-        F.percentile("r", F.array(*[F.lit(p) for p in probs.values()])).alias("own"))
-    by_type = exact_quantiles(resid, ["demand_type"], "r", {f"type_{q}": p for q, p in probs.items()})
-    enough = F.col("n_resid") >= min_residuals
-    return own.join(F.broadcast(by_type), "demand_type", "left").select(
-        "unique_id", "demand_type", "n_resid",
-        *[F.when(enough, F.col("own")[i]).otherwise(F.col(f"type_{q}")).alias(f"r_{q}")
-          for i, q in enumerate(probs)])
+    resid = cv.select("demand_type", ((F.col("y") - F.col("y_pred")) / F.col("naive_mae")).alias("r")).where("r is not null")
+    return exact_quantiles(resid, ["demand_type"], "r", {f"r_{q}": p for q, p in probs.items()})
 
 
 def quantile_forecast(point: DataFrame, residuals: DataFrame, probs: Mapping[str, float] = QUANTILES) -> DataFrame:
-    """Point forecast plus residual quantiles. A series without own residuals keeps NULL quantiles."""
-    shifts = residuals.select("unique_id", *[f"r_{q}" for q in probs])
-    return point.join(shifts, "unique_id", "left").withColumns(
-        {q: F.col("y_pred") + F.col(f"r_{q}") for q in probs}).drop(*[f"r_{q}" for q in probs])
+    """Point forecast plus the type's residual quantiles in units of the row's ``naive_mae``.
+
+    A series without a naive error does not vary, so its quantiles are the point forecast.
+    """
+    unit = F.coalesce("naive_mae", F.lit(0.0))
+    rows = point.join(F.broadcast(residuals), "demand_type", "left")
+    return rows.withColumns({q: F.col("y_pred") + F.col(f"r_{q}") * unit for q in probs}).drop(*[f"r_{q}" for q in probs], "naive_mae")
 
 
 def safety_stock(quantiles: DataFrame) -> DataFrame:
@@ -52,17 +49,17 @@ def quantile_metrics(results: DataFrame, probs: Mapping[str, float] = QUANTILES)
     err = y - F.col("v")
     loss = F.when(err >= 0, F.col("alpha") * err).otherwise((F.col("alpha") - 1) * err)
     return long.groupBy("quantile", "alpha").agg(
-        F.avg(loss).alias("pinball"), F.avg((y <= F.col("v")).cast("double")).alias("coverage"))
+        F.avg(loss).alias("pinball"), F.avg((y <= F.col("v") + TOLERANCE).cast("double")).alias("coverage"))
 
 
 def coverage_by_series(results: DataFrame, q: str = "q95") -> DataFrame:
     return results.where(F.col(q).isNotNull()).groupBy("unique_id").agg(
-        F.avg((F.col("y") <= F.col(q)).cast("double")).alias(f"coverage_{q}"))
+        F.avg((F.col("y") <= F.col(q) + TOLERANCE).cast("double")).alias(f"coverage_{q}"))
 
 
 def coverage_picks(coverage: DataFrame, column: str = "coverage_q95", best: int = 2) -> DataFrame:
     """Two lowest, the middle and the two highest series by coverage."""
-    ranked = rank_in_group(coverage.withColumn("_g0all", F.lit(1)), ["_g0all"], [column, "unique_id"], "_r", "_n")
+    ranked = rank_in_group(coverage, [], [column, "unique_id"], "_r", "_n")
     quality = (
         F.when(F.col("_r") > F.col("_n") - best, "High coverage")
         .when(F.col("_r") == F.floor(F.col("_n") / 2) + 1, "Median")
@@ -73,12 +70,10 @@ def coverage_picks(coverage: DataFrame, column: str = "coverage_q95", best: int
 
 def series_stock_summary(results: DataFrame) -> DataFrame:
     """Distribution of the mean safety stock over series: count, mean, spread and quantiles."""
-    mean = results.where("safety_stock is not null").groupBy("unique_id").agg(
-        F.avg("safety_stock").alias("v"), F.lit(1).alias("_all"))
-    moments = mean.groupBy("_all").agg(F.count(F.lit(1)).alias("n_series"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+    mean = results.where("safety_stock is not null").groupBy("unique_id").agg(F.avg("safety_stock").alias("v"))
+    moments = mean.agg(F.count(F.lit(1)).alias("n_series"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
                        F.min("v").alias("min"), F.max("v").alias("max"))
-    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
-    return moments.join(exact_quantiles(mean, ["_all"], "v", probs), "_all").drop("_all")
+    return with_quantiles(moments, mean, "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95})
 
 
 def weekly_stock_summary(results: DataFrame) -> DataFrame:

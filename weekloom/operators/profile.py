@@ -52,12 +52,17 @@ def entity_counts(weekly: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of a numeric column, exact at any size."""
-    rows = df.select(column, F.lit(1).alias("_all"))
-    moments = rows.groupBy("_all").agg(
+    moments = df.agg(
         F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"),
         F.min(column).cast("double").alias("min"), F.max(column).cast("double").alias("max"))
     probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    return moments.join(exact_quantiles(rows, ["_all"], column, probs), "_all").drop("_all")
+    return with_quantiles(moments, df, column, probs)
+
+
+def with_quantiles(moments: DataFrame, df: DataFrame, column: str, probs: Mapping[str, float]) -> DataFrame:
+    """Add the column's quantiles to a one-row table; they come as one scalar, not through a join."""
+    found = exact_quantiles(df, [], column, probs).select(F.struct(*probs).alias("q")).scalar()
+    return moments.withColumn("_q", found).select(*moments.columns, *[F.col(f"_q.{p}").alias(p) for p in probs])
 
 
 def integrity_report(panel: DataFrame, columns: Sequence[str], key: Sequence[str], value: str) -> DataFrame:

@@ -194,12 +194,12 @@ class Modelling:
         windows inside the training part."""
         # the packed series feed both the residual windows and the point forecast
         held_out = pin(self.held_out)
-        train = held_out.drop("actual", "naive_mae")
+        train = held_out.drop("actual")
         where: dict[str, Column] = {}
         for kind, model in models.items():
             where[model] = where.get(model, F.lit(False)) | (F.col("demand_type") == kind)
-        cv = EV.cv_forecasts(train, where, self.h, n_windows, self.h, keep=("unique_id", "demand_type"))
+        cv = EV.cv_forecasts(train, where, self.h, n_windows, self.h, keep=("unique_id", "demand_type", "naive_mae"))
         residuals = INV.residual_quantiles(cv)
         point = EV.test_rows(FC.route(held_out, models, self.h, "_fc"), {"y_pred": "_fc"},
-                             ["unique_id", "demand_type"])
+                             ["unique_id", "demand_type", "naive_mae"])
         return INV.safety_stock(INV.quantile_forecast(point, residuals))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +44,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written copy.
+    """Write ``df`` as a parquet table under the checkpoint folder and continue from the written copy.
 
-    Needed where row positions must not change when a task is run again.
+    Needed where row positions must not change when a task is run again, and where a costly result is
+    read more than once. Readers of the copy still get column pruning, filters and sizes.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{pinned_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def pinned_folder(spark: SparkSession) -> str:
+    """Where this application's pinned tables lie."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/pinned-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's pinned tables, at the end of a run; results still to be read must be written before."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(pinned_folder(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -173,6 +173,7 @@ def routed_sql(table: str, keys: str, models: dict[str, str], name: str) -> str:
     return "CASE " + " ".join(f"WHEN demand_type = '{k}' THEN {FORECAST_SQL[m]}" for k, m in models.items()) + f" END AS {name}"
 
 
+NAIVE_MAE = "nullif(list_avg(list_transform(range(2, n + 1), lambda i: abs(ys[i] - ys[i - 1]))), 0)"
 ALL_MODELS = sorted(set(PER_SERIES_MODELS.values()) | set(FC.BASELINES.values()))
 CTES["hop"] = prepared("ho", "unique_id", ALL_MODELS)[1:-1]
 CTES["bt"] = f"""
@@ -180,7 +181,7 @@ CTES["bt"] = f"""
            naive_mae, cutoff
     FROM (SELECT *, CAST(unnest(range(1, len(actual) + 1)) AS INTEGER) AS k FROM (
         SELECT *, {routed_sql('hop', 'unique_id', PER_SERIES_MODELS, 'fc')}, {routed_sql('hop', 'unique_id', FC.BASELINES, 'fb')},
-               nullif(list_avg(list_transform(range(2, n + 1), lambda i: abs(ys[i] - ys[i - 1]))), 0) AS naive_mae FROM hop))"""
+               {NAIVE_MAE} AS naive_mae FROM hop))"""
 CASE_MODEL = "CASE demand_type " + " ".join(f"WHEN '{k}' THEN '{m}'" for k, m in PER_SERIES_MODELS.items()) + " END"
 CASE_BASE = "CASE demand_type " + " ".join(f"WHEN '{k}' THEN '{m}'" for k, m in FC.BASELINES.items()) + " END"
 CTES["sides"] = """
@@ -279,7 +280,7 @@ def cv_windows(i: Inputs):
 
 def _cv_table(models) -> str:
     """Windowed packed rows of the training part with helper columns."""
-    windows = """SELECT unique_id, demand_type, w, n AS n_total, list_slice(ys, n - 4 - 4 * w + 1, n - 4 * w) AS actual,
+    windows = f"""SELECT unique_id, demand_type, w, n AS n_total, {NAIVE_MAE} AS scale, list_slice(ys, n - 4 - 4 * w + 1, n - 4 * w) AS actual,
         list_slice(ys, 1, n - 4 - 4 * w) AS ys, n - 4 - 4 * w AS n
         FROM ho, (SELECT CAST(unnest(range(0, 6)) AS INTEGER) AS w) WHERE n - 4 - 4 * w >= 1"""
     return prepared(f"({windows})", "unique_id, w", models)
@@ -348,19 +349,15 @@ def run_metadata(i: Inputs):
 # -- quantiles and safety stock -------------------------------------------------------
 
 CTES["resid"] = f"""
-    SELECT unique_id, demand_type, actual[k] - f[k] AS e FROM (
-      SELECT unique_id, demand_type, actual, {routed_sql('x', 'unique_id', PER_SERIES_MODELS, 'f')}, unnest([1, 2, 3, 4]) AS k
-      FROM {_cv_table(sorted(set(PER_SERIES_MODELS.values())))}) WHERE actual[k] - f[k] IS NOT NULL"""
+    SELECT demand_type, (actual[k] - f[k]) / scale AS e FROM (
+      SELECT unique_id, demand_type, actual, scale, {routed_sql('x', 'unique_id', PER_SERIES_MODELS, 'f')}, unnest([1, 2, 3, 4]) AS k
+      FROM {_cv_table(sorted(set(PER_SERIES_MODELS.values())))}) WHERE actual[k] - f[k] IS NOT NULL AND scale IS NOT NULL"""
 CTES["rq"] = """
-    SELECT o.unique_id, CASE WHEN o.n >= 12 THEN o.a ELSE t.a END AS r50, CASE WHEN o.n >= 12 THEN o.b ELSE t.b END AS r80,
-           CASE WHEN o.n >= 12 THEN o.c ELSE t.c END AS r95
-    FROM (SELECT unique_id, demand_type, count(*) AS n, quantile_cont(e, 0.5) AS a, quantile_cont(e, 0.8) AS b, quantile_cont(e, 0.95) AS c
-          FROM resid GROUP BY 1, 2) o
-    JOIN (SELECT demand_type, quantile_cont(e, 0.5) AS a, quantile_cont(e, 0.8) AS b, quantile_cont(e, 0.95) AS c FROM resid GROUP BY 1) t
-      USING (demand_type)"""
+    SELECT demand_type, quantile_cont(e, 0.5) AS r50, quantile_cont(e, 0.8) AS r80, quantile_cont(e, 0.95) AS r95 FROM resid GROUP BY 1"""
 CTES["qf"] = """
-    SELECT unique_id, demand_type, ds, y, y_pred, y_pred + r50 AS q50, y_pred + r80 AS q80, y_pred + r95 AS q95, r95 - r50 AS safety_stock
-    FROM bt LEFT JOIN rq USING (unique_id)"""
+    SELECT unique_id, demand_type, ds, y, y_pred, y_pred + r50 * u AS q50, y_pred + r80 * u AS q80, y_pred + r95 * u AS q95,
+           (r95 - r50) * u AS safety_stock
+    FROM (SELECT *, coalesce(naive_mae, 0) AS u FROM bt) LEFT JOIN rq USING (demand_type)"""
 
 
 @AREA.query("quantile_forecast", sql(f"""
@@ -379,9 +376,7 @@ def safety_stock(i: Inputs):
            {r(f'avg(CASE WHEN y <= {q} + 1e-9 THEN 1.0 ELSE 0.0 END)')} AS coverage FROM qf WHERE {q} IS NOT NULL"""
     for q, a in INV.QUANTILES.items())))
 def quantile_metrics(i: Inputs):
-    rows = i.model.quantile_rows()
-    # a quantile that equals the actual value up to the last bit counts as covering it
-    return INV.quantile_metrics(rows.withColumns({q: F.col(q) + 1e-9 for q in INV.QUANTILES}))
+    return INV.quantile_metrics(i.model.quantile_rows())
 
 
 COVERAGE = "SELECT unique_id, avg(CASE WHEN y <= q95 + 1e-9 THEN 1.0 ELSE 0.0 END) AS c FROM qf WHERE q95 IS NOT NULL GROUP BY 1"
@@ -393,7 +388,7 @@ COVERAGE = "SELECT unique_id, avg(CASE WHEN y <= q95 + 1e-9 THEN 1.0 ELSE 0.0 EN
     FROM (SELECT *, row_number() OVER (ORDER BY c, unique_id) AS k, count(*) OVER () AS n FROM ({COVERAGE}))"""))
 def coverage_by_series(i: Inputs):
     rows = pin(i.model.quantile_rows())
-    cover = INV.coverage_by_series(rows.withColumn("q95", F.col("q95") + 1e-9))
+    cover = INV.coverage_by_series(rows)
     return cover.join(INV.coverage_picks(cover).select("unique_id", "quality"), "unique_id", "left")
 
 
