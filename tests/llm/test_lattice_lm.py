@@ -41,11 +41,11 @@ def test_forward_sums_all_segmentations(vocabulary):
 def test_expected_counts_agree_and_spell_the_words(vocabulary):
     scores = vocabulary.start()
     words, weights = ["theroning", "aé", "😀b"], [3.0, 2.0, 1.0]
-    fast, slow = np.zeros(vocabulary.size + 1), np.zeros(vocabulary.size + 1)
+    fast, slow = np.zeros(vocabulary.size), np.zeros(vocabulary.size)
     lm.word_scores(vocabulary, words, scores, fast, weights)
     for w, n in zip(words, weights):
         lm.one_word(vocabulary, lm.MARK + w, scores, slow, n)
-    assert np.allclose(fast[:len(vocabulary.pieces)], slow[:len(vocabulary.pieces)]) and np.allclose(fast, slow)
+    assert np.allclose(fast, slow)
     letters = sum(fast[i] * len(p) for i, p in enumerate(vocabulary.pieces))
     assert letters <= sum(n * (len(w) + 1) for w, n in zip(words, weights)) + 1e-9
 
