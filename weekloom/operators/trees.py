@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
@@ -9,7 +10,7 @@ from dataclasses import asdict, dataclass
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekloom.functions.ranks import global_row_number
 from weekloom.operators import evaluation as EV, lags as L, panel as P
@@ -24,7 +25,7 @@ class TreeParams:
     lag_transform: str = "rolling_mean_4"
     target_transform: str = "normalize"
     step_size: float = 0.1
-    max_iter: int = 20
+    max_iter: int = 100
     max_depth: int = 5
     feature_fraction: float = 0.9
     row_fraction: float = 0.75
@@ -66,12 +67,20 @@ def _back_to_units(pred: DataFrame, params: TreeParams, scale: DataFrame, last:
 
 
 def feature_names(params: TreeParams, exogenous: Sequence[str]) -> list[str]:
-    return [*L.lag_columns(L.LAG_PRESETS[params.lag_preset], params.lag_transform), *L.date_columns(), *exogenous]
+    lags = L.lag_columns(L.LAG_PRESETS[params.lag_preset], params.lag_transform)
+    return [*lags, *L.date_columns(), *exogenous, *map(missing_flag, exogenous)]
+
+
+def missing_flag(name: str) -> str:
+    return f"{name}_is_missing"
 
 
 def _assemble(rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Feature vector; exogenous values unknown for a week become -1 as their own split value."""
-    filled = rows.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in features})
+    """Feature vector. An exogenous value unknown for a week is 0 with its flag set, so it never passes for
+    a measured one; lags are complete wherever the vector is used."""
+    known = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features if c in rows.columns}
+    flags = {c: F.col(c.removesuffix(missing_flag(""))).isNull().cast("double") for c in features if c not in rows.columns}
+    filled = rows.withColumns(flags).withColumns(known)
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
 
 
@@ -94,7 +103,8 @@ def fit(dataset: DataFrame, params: TreeParams, exogenous: Sequence[str]) -> Tre
 def predict(fitted: TreeFit, history: DataFrame, future_exogenous: DataFrame, h: int) -> DataFrame:
     """``unique_id, step, ds, y_pred`` for the ``h`` weeks after each series, in one pass.
 
-    Every lag preset starts at the horizon, so future rows need no forecast values as input.
+    Every lag preset starts at the horizon, so future rows need no forecast values as input. A row whose lags
+    reach beyond the series' start has no forecast (NULL): training drops such rows, too.
     """
     params = fitted.params
     prepared = _with_target(history, params, fitted.scale).select("unique_id", "ds", "y")
@@ -102,13 +112,18 @@ def predict(fitted: TreeFit, history: DataFrame, future_exogenous: DataFrame, h:
     steps = P.future_weeks(history.select("unique_id", "ds"), h)
     ahead = steps.join(rows.drop("y"), ["unique_id", "ds"]).join(
         future_exogenous.drop("step"), ["unique_id", "ds"], "left")
-    scored = fitted.model.transform(_assemble(ahead, fitted.features))
-    pred = scored.select("unique_id", "step", "ds", F.col("prediction").alias("y_pred"))
+    lags = L.lag_columns(L.LAG_PRESETS[params.lag_preset], params.lag_transform)
+    complete = functools.reduce(Column.__and__, [F.col(c).isNotNull() for c in lags])
+    scored = fitted.model.transform(_assemble(ahead.withColumn("_complete", complete), fitted.features))
+    pred = scored.select("unique_id", "step", "ds", F.when(F.col("_complete"), F.col("prediction")).alias("y_pred"))
     last = history.groupBy("unique_id").agg(F.max_by("y", "ds").cast("double").alias("last_y"))
     return _back_to_units(pred, params, fitted.scale, last)
 
 
-def search_space(n_trials: int, seed: int = 42, max_iter: tuple[int, int] = (10, 40)) -> list[TreeParams]:
+N_TRIALS = 50
+
+
+def search_space(n_trials: int = N_TRIALS, seed: int = 42, max_iter: tuple[int, int] = (100, 1000)) -> list[TreeParams]:
     """Seeded random grid over lag preset, lag transform, target transform and booster parameters."""
     rng = random.Random(seed)
     return [
@@ -118,7 +133,7 @@ def search_space(n_trials: int, seed: int = 42, max_iter: tuple[int, int] = (10,
             target_transform=rng.choice(L.TARGET_TRANSFORMS),
             step_size=round(10 ** rng.uniform(-2, -1), 4),
             max_iter=rng.randint(*max_iter),
-            max_depth=rng.randint(3, 7),
+            max_depth=rng.randint(5, 9),
             feature_fraction=round(rng.uniform(0.6, 1.0), 3),
             row_fraction=round(rng.uniform(0.6, 1.0), 3),
             seed=seed,
@@ -127,38 +142,50 @@ def search_space(n_trials: int, seed: int = 42, max_iter: tuple[int, int] = (10,
     ]
 
 
-def cv_loss(dataset: DataFrame, params: TreeParams, exogenous: Sequence[str], h: int, n_windows: int,
+def with_places(dataset: DataFrame) -> DataFrame:
+    """Add each row's distance from its series' end (``_back``) and the series' length (``_rows``)."""
+    order, whole = Window.partitionBy("unique_id").orderBy(F.col("ds").desc()), Window.partitionBy("unique_id")
+    return dataset.withColumns({"_back": F.row_number().over(order) - 1, "_rows": F.count(F.lit(1)).over(whole)})
+
+
+def window_parts(placed: DataFrame, w: int, h: int, step: int) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of one window, counted back from each series' own end; a series without
+    training rows takes no part in it."""
+    end = w * step
+    inside = placed.where(F.col("_rows") - h - end >= 1)
+    train = inside.where(F.col("_back") >= h + end)
+    test = inside.where(F.col("_back").between(end, end + h - 1))
+    return train.drop("_back", "_rows"), test.drop("_back", "_rows")
+
+
+def cv_loss(placed: DataFrame, params: TreeParams, exogenous: Sequence[str], h: int, n_windows: int,
             step: int = 1) -> DataFrame:
     """One-row mean MASE over overlapping rolling-origin windows, one model per window.
 
-    Window cutoffs count back from the global last week; a series that ended before a window's test
-    weeks has no rows in it. MASE is scaled by the training rows of the earliest window.
+    Takes rows ``with_places``. MASE is scaled by the whole series. A series with a test week that has no
+    forecast has no MASE, as in every other evaluation.
     """
     parts = []
-    last = F.col("_last")
-    bounded = dataset.withColumn("_last", dataset.agg(F.max("ds")).scalar())
     for w in range(n_windows):
-        cut = F.date_sub(last, 7 * (h + w * step))
-        train = bounded.where(F.col("ds") <= cut).drop("_last")
-        test = bounded.where((F.col("ds") > cut) & (F.col("ds") <= F.date_add(cut, 7 * h)))
+        train, test = window_parts(placed, w, h, step)
         fitted = fit(train, params, exogenous)
         pred = predict(fitted, train, test.select("unique_id", "ds", *exogenous), h)
-        parts.append(EV.by_date(test.select("unique_id", "ds", "y"), pred).where("y_pred is not null"))
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    first_cut = F.date_sub(last, 7 * (h + (n_windows - 1) * step))
-    scale = EV.naive_scale(bounded.where(F.col("ds") <= first_cut))
-    per = EV.series_metrics(united, scale)
+        parts.append(EV.by_date(test.select("unique_id", "ds", "y"), pred))
+    united = functools.reduce(DataFrame.unionByName, parts)
+    per = EV.series_metrics(united, EV.naive_scale(placed))
     return per.agg(F.avg("mase").alias("mase"), F.count("mase").alias("n_series"))
 
 
 def search(dataset: DataFrame, trials: Sequence[TreeParams], exogenous: Sequence[str], h: int,
-           n_windows: int) -> DataFrame:
-    """Loss of every trial, ``trial, params..., mase, n_series``; the best has the smallest ``mase``."""
+           n_windows: int = EV.N_WINDOWS) -> DataFrame:
+    """Loss of every trial, ``trial, params..., mase, n_series``; the best has the smallest ``mase``.
+
+    The assembled dataset is written once; windows are filters on the written rows.
+    """
+    placed = pin(with_places(dataset))
     out = None
     for i, params in enumerate(trials):
-        row = cv_loss(dataset, params, exogenous, h, n_windows).select(
+        row = cv_loss(placed, params, exogenous, h, n_windows).select(
             F.lit(i).alias("trial"), *[F.lit(v).alias(k) for k, v in asdict(params).items()], "mase", "n_series")
         out = row if out is None else out.unionByName(row)
     return out
@@ -209,15 +236,6 @@ def feature_importance(fitted: TreeFit, dataset: DataFrame, top: int = 20, seed:
         F.col("mse_rise").desc(), "feature").limit(top)
 
 
-def save_model(fitted: TreeFit, path: str) -> None:
-    """Write the booster with Spark ML's writer; parameters go to the run metadata."""
-    fitted.model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> GBTRegressionModel:
-    return GBTRegressionModel.load(path)
-
-
 def params_from(values: Mapping[str, object]) -> TreeParams:
     """Known parameters (for a refit without search); unknown names are ignored."""
     return TreeParams(**{k: v for k, v in values.items() if k in TreeParams.__dataclass_fields__})

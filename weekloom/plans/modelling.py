@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import asdict
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weekloom.operators import dimensions as DIM, evaluation as EV, features as FE, forecasters as FC, panel as P
 from weekloom.operators import inventory as INV, trees as TR
 from weekloom.plans import preparation as PREP
-from weekloom.sources import holidays as H
+from weekloom.sources import holidays as H, sinks as K
 from weekloom.session import pin
 from weekloom.sources.retail import RetailTables
 
@@ -114,9 +117,32 @@ class Modelling:
     def held_out(self) -> DataFrame:
         return EV.packed_naive_scale(EV.hold_out(self.packed, self.cutoff))
 
-    def backtest(self, models: Mapping[str, str] = PER_SERIES_MODELS, run_date: Column | None = None) -> DataFrame:
-        """Test weeks with the model's and the baseline's forecast, aligned by position."""
+    def backtest(self, models: Mapping[str, str] = PER_SERIES_MODELS, run_date: Column | None = None,
+                 tree_params: TR.TreeParams | None = None) -> DataFrame:
+        """Test weeks with the model's and the baseline's forecast: per-series methods aligned by position,
+        the tree model by date."""
         run_date = F.current_date() if run_date is None else run_date
+        parts = []
+        per_series = {k: m for k, m in models.items() if m != TREE_MODEL}
+        if per_series:
+            parts.append(self._per_series_backtest(per_series, run_date))
+        for kind in (k for k, m in models.items() if m == TREE_MODEL):
+            # the baseline's test weeks, their forecast column replaced by the trees'
+            base = self._per_series_backtest({kind: FC.BASELINES[kind]}, run_date).drop("y_pred")
+            pred = self.tree_hold_out(kind, tree_params or TR.TreeParams())
+            rows = base.join(pred, ["unique_id", "ds"], "left").withColumn("model", F.lit(TREE_MODEL))
+            parts.append(rows.select("unique_id", "ds", "y", "y_pred", *base.columns[3:]))
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    def tree_hold_out(self, demand_type: str, params: TR.TreeParams) -> DataFrame:
+        """``unique_id, ds, y_pred`` of the test weeks from trees fitted on the training weeks."""
+        rows = self.of_type(demand_type)
+        train = rows.where(F.col("ds") <= self.cutoff)
+        fitted = TR.fit(train, params, TREE_FEATURES)
+        exogenous = rows.where(F.col("ds") > self.cutoff).select("unique_id", "ds", *TREE_FEATURES)
+        return TR.predict(fitted, train, exogenous, self.h).select("unique_id", "ds", "y_pred")
+
+    def _per_series_backtest(self, models: Mapping[str, str], run_date: Column) -> DataFrame:
         modelled = FC.route(self.held_out, models, self.h, "_model")
         kinds = list(models)
         based = FC.route(modelled.withColumnRenamed("model", "_name"),
@@ -158,9 +184,7 @@ class Modelling:
         for kind in (k for k, m in chosen.items() if m == TREE_MODEL):
             pred = self.tree_forecast(kind, tree_params or TR.TreeParams())
             parts.append(pred.withColumns({"demand_type": F.lit(kind), "model": F.lit(TREE_MODEL)}))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
+        out = functools.reduce(DataFrame.unionByName, [p.select("unique_id", "ds", "y_pred", "demand_type", "model") for p in parts])
         ref = self.span.select("ds_max").scalar()
         return out.select("unique_id", "ds", "y_pred", "demand_type", "model", ref.alias("ref_date"),
                           run_date.alias("run_date"))
@@ -185,7 +209,41 @@ class Modelling:
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("saved_at"),
             F.lit(freq).alias("freq"), F.lit(self.h).alias("horizon"), F.lit(n_windows).alias("n_windows"),
             "baseline_metrics", "model_metrics", F.round("delta_wape_pct", 2).alias("delta_wape_pct"),
-            "model_col", "cv_wape")
+            "model_col", "cv_wape", "best_params")
+
+    def train(self, path: str, tree_types: Sequence[str] = tuple(TREE_TYPES), tree_params: TR.TreeParams | None = None,
+              trials: Sequence[TR.TreeParams] = (), candidates: Mapping[str, Sequence[str]] = FC.CANDIDATES,
+              n_windows: int = EV.N_WINDOWS, run_date: Column | None = None) -> DataFrame:
+        """A training run: choose a model per demand type, backtest it against the baseline, write the metadata
+        to ``path`` and return the backtest.
+
+        Per-series types take the winner of cross-validation over ``candidates``. The tree types take
+        ``tree_params``, or the best of ``trials`` where some are given.
+        """
+        kinds = [k for k in candidates if k not in tree_types]
+        winners = self.choose({k: candidates[k] for k in kinds}, n_windows).collect()  # one row per demand type
+        rows = [(r["demand_type"], r["model"], r["cv_wape"], None) for r in winners]
+        params = tree_params or TR.TreeParams()
+        for kind in tree_types:
+            if trials:
+                train = self.of_type(kind).where(F.col("ds") <= self.cutoff)
+                params = TR.best_params(TR.search(train, trials, TREE_FEATURES, self.h, n_windows))
+            rows.append((kind, TREE_MODEL, None, json.dumps(asdict(params))))
+        chosen = self.tables.spark.createDataFrame(rows, "demand_type string, model string, cv_wape double, best_params string")
+        backtest = pin(self.backtest({k: m for k, m, *_ in rows}, run_date, params))
+        K.write_metadata(self.metadata(backtest, chosen, n_windows=n_windows), path)
+        return backtest
+
+    def predict(self, path: str, run_date: Column | None = None) -> DataFrame:
+        """The final forecast with the models and parameters of the run whose metadata lie at ``path``.
+
+        Raises where there are none: without a training run there is nothing to predict with.
+        """
+        runs = K.read_metadata(self.tables.spark, path).select("demand_type", "model_col", "best_params").collect()
+        if not runs:
+            raise FileNotFoundError(f"no run metadata at {path}; train first")
+        params = next((TR.params_from(json.loads(r["best_params"])) for r in runs if r["best_params"]), None)
+        return self.final_forecast({r["demand_type"]: r["model_col"] for r in runs}, run_date, params)
 
     # -- quantiles -------------------------------------------------------------
 

@@ -33,5 +33,5 @@ RUN_METADATA = T.StructType([
     *table(demand_type=STRING, **{"class": STRING}, saved_at=STRING, freq=STRING, horizon=INT, n_windows=INT).fields,
     T.StructField("baseline_metrics", METRICS),
     T.StructField("model_metrics", METRICS),
-    *table(delta_wape_pct=DOUBLE, model_col=STRING, cv_wape=DOUBLE).fields,
+    *table(delta_wape_pct=DOUBLE, model_col=STRING, cv_wape=DOUBLE, best_params=STRING).fields,
 ])
