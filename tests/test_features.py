@@ -73,3 +73,18 @@ def test_catalog_names_sections_and_missing_tables(spark, tmp_path):
         catalog.path("silver", "nothing")
     assert catalog.read_optional("forecasting", "features", "weather") is None
     assert read_metadata(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_holidays_begin_in_their_first_year(spark):
+    table = H.holiday_table(spark.createDataFrame([(2023,), (2024,)], "year int")).collect()
+    national = {r["date"] for r in table if r["subdivision"] is None}
+    assert dt.date(2024, 11, 20) in national and dt.date(2023, 11, 20) not in national
+    assert {r["date"].strftime("%m-%d") for r in table if r["subdivision"] == "AC" and r["date"].year == 2023} == {"01-23", "03-08", "06-15", "09-05", "11-17"}
+    assert [r["date"] for r in table if r["name"] == "Nossa Senhora da Penha"] == [dt.date(2023, 4, 17), dt.date(2024, 4, 8)]
+    early = H.holiday_table(spark.createDataFrame([(1995,)], "year int")).collect()
+    assert not [r for r in early if r["subdivision"] in ("RJ", "SP", "RS")]
+
+
+def test_every_state_has_a_holiday():
+    states = {s for listed in H.REGION_STATES.values() for s in listed}
+    assert states == {s for *_, s, _ in H.STATE_FIXED}

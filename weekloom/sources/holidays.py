@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# fixed values: (month, day, name) of the national holidays with a fixed date
+ALWAYS = 0
+
+# fixed values: (month, day, name, first year) of the national holidays with a fixed date
 NATIONAL_FIXED = [
-    (1, 1, "Confraternização Universal"),
-    (4, 21, "Tiradentes"),
-    (5, 1, "Dia do Trabalhador"),
-    (9, 7, "Independência do Brasil"),
-    (10, 12, "Nossa Senhora Aparecida"),
-    (11, 2, "Finados"),
-    (11, 15, "Proclamação da República"),
-    (12, 25, "Natal"),
+    (1, 1, "Confraternização Universal", ALWAYS),
+    (4, 21, "Tiradentes", ALWAYS),
+    (5, 1, "Dia do Trabalhador", ALWAYS),
+    (9, 7, "Independência do Brasil", ALWAYS),
+    (10, 12, "Nossa Senhora Aparecida", 1980),
+    (11, 2, "Finados", ALWAYS),
+    (11, 15, "Proclamação da República", ALWAYS),
+    (11, 20, "Dia Nacional de Zumbi e da Consciência Negra", 2024),
+    (12, 25, "Natal", ALWAYS),
 ]
 
 # fixed values: (days from Easter Sunday, name) of the movable national days
@@ -23,32 +26,68 @@ NATIONAL_MOVABLE = [
     (60, "Corpus Christi"),
 ]
 
-# fixed values: (month, day, name, state) of state holidays
+# fixed values: (days from Easter Sunday, name, state, first year) of movable state holidays
+STATE_MOVABLE = [
+    (8, "Nossa Senhora da Penha", "ES", 2020),
+]
+
+# fixed values: (month, day, name, state, first year) of state holidays; those that became national end with them
 STATE_FIXED = [
-    (1, 4, "Criação do Estado de Rondônia", "RO"),
-    (3, 6, "Revolução Pernambucana", "PE"),
-    (3, 19, "São José", "AP"),
-    (3, 25, "Data Magna do Ceará", "CE"),
-    (4, 21, "Data Magna de Minas Gerais", "MG"),
-    (4, 21, "Fundação de Brasília", "DF"),
-    (4, 23, "São Jorge", "RJ"),
-    (6, 15, "Aniversário do Acre", "AC"),
-    (6, 24, "São João", "AL"),
-    (7, 2, "Independência da Bahia", "BA"),
-    (7, 8, "Emancipação política de Sergipe", "SE"),
-    (7, 9, "Revolução Constitucionalista", "SP"),
-    (7, 28, "Adesão do Maranhão à Independência", "MA"),
-    (8, 5, "Fundação do Estado da Paraíba", "PB"),
-    (8, 11, "Criação da capitania de Santa Catarina", "SC"),
-    (8, 15, "Adesão do Grão-Pará à Independência", "PA"),
-    (9, 5, "Elevação do Amazonas à categoria de província", "AM"),
-    (9, 20, "Revolução Farroupilha", "RS"),
-    (10, 3, "Mártires de Cunhaú e Uruaçu", "RN"),
-    (10, 5, "Criação do Estado de Roraima", "RR"),
-    (10, 5, "Criação do Estado do Tocantins", "TO"),
-    (10, 11, "Criação do Estado de Mato Grosso do Sul", "MS"),
-    (10, 19, "Dia do Piauí", "PI"),
-    (12, 19, "Emancipação do Paraná", "PR"),
+    (1, 23, "Dia do Evangélico", "AC", 2005),
+    (3, 8, "Alusivo ao Dia Internacional da Mulher", "AC", 2002),
+    (6, 15, "Aniversário do Acre", "AC", 1965),
+    (9, 5, "Dia da Amazônia", "AC", 2005),
+    (11, 17, "Assinatura do Tratado de Petrópolis", "AC", 1965),
+    (6, 24, "São João", "AL", 1994),
+    (6, 29, "São Pedro", "AL", 1994),
+    (9, 16, "Emancipação política de Alagoas", "AL", ALWAYS),
+    (11, 20, "Consciência Negra", "AL", 1996),
+    (11, 30, "Dia do Evangélico", "AL", 2013),
+    (9, 5, "Elevação do Amazonas à categoria de província", "AM", 1977),
+    (11, 20, "Consciência Negra", "AM", 2010),
+    (12, 8, "Nossa Senhora da Conceição", "AM", 2016),
+    (3, 19, "São José", "AP", 2003),
+    (7, 25, "São Tiago", "AP", 2012),
+    (9, 13, "Criação do Território Federal do Amapá", "AP", ALWAYS),
+    (11, 20, "Consciência Negra", "AP", 2008),
+    (7, 2, "Independência da Bahia", "BA", ALWAYS),
+    (3, 19, "São José", "CE", ALWAYS),
+    (3, 25, "Data Magna do Ceará", "CE", 2012),
+    (4, 21, "Fundação de Brasília", "DF", ALWAYS),
+    (11, 30, "Dia do Evangélico", "DF", 1995),
+    (10, 28, "Dia do Servidor Público", "ES", ALWAYS),
+    (7, 26, "Fundação da cidade de Goiás", "GO", ALWAYS),
+    (10, 24, "Pedra fundamental de Goiânia", "GO", ALWAYS),
+    (7, 28, "Adesão do Maranhão à Independência", "MA", 1964),
+    (12, 8, "Nossa Senhora da Conceição", "MA", 1993),
+    (4, 21, "Data Magna de Minas Gerais", "MG", ALWAYS),
+    (10, 11, "Criação do Estado de Mato Grosso do Sul", "MS", 1979),
+    (11, 20, "Consciência Negra", "MT", 2003),
+    (8, 15, "Adesão do Grão-Pará à Independência", "PA", 1996),
+    (7, 26, "Memória do presidente João Pessoa", "PB", ALWAYS),
+    (8, 5, "Fundação do Estado da Paraíba", "PB", 1968),
+    (3, 6, "Revolução Pernambucana", "PE", 2010),
+    (6, 24, "São João", "PE", ALWAYS),
+    (3, 13, "Batalha do Jenipapo", "PI", ALWAYS),
+    (10, 19, "Dia do Piauí", "PI", 1937),
+    (12, 19, "Emancipação do Paraná", "PR", ALWAYS),
+    (4, 23, "São Jorge", "RJ", 2008),
+    (11, 20, "Consciência Negra", "RJ", 2002),
+    (6, 29, "São Pedro", "RN", ALWAYS),
+    (10, 3, "Mártires de Cunhaú e Uruaçu", "RN", 2007),
+    (1, 4, "Criação do Estado de Rondônia", "RO", 1982),
+    (6, 18, "Dia do Evangélico", "RO", 2002),
+    (10, 5, "Criação do Estado de Roraima", "RR", 1989),
+    (9, 20, "Revolução Farroupilha", "RS", 1996),
+    (8, 11, "Criação da capitania de Santa Catarina", "SC", 2004),
+    (11, 25, "Santa Catarina de Alexandria", "SC", 1999),
+    (7, 8, "Emancipação política de Sergipe", "SE", ALWAYS),
+    (7, 9, "Revolução Constitucionalista", "SP", 1997),
+    (11, 20, "Consciência Negra", "SP", 2023),
+    (1, 1, "Instalação do Estado do Tocantins", "TO", 1989),
+    (3, 18, "Autonomia do Tocantins", "TO", 1998),
+    (9, 8, "Nossa Senhora da Natividade", "TO", 1989),
+    (10, 5, "Criação do Estado do Tocantins", "TO", 1989),
 ]
 
 # fixed values: states of each macro-region, region ids in alphabetical order of the region names
@@ -76,26 +115,24 @@ def easter_sunday(year: Column) -> Column:
 
 
 def _rows_of_year(year: Column) -> Column:
-    def fixed(month: int, day: int, name: str, state: str | None) -> Column:
-        return F.struct(
-            F.make_date(year, F.lit(month), F.lit(day)).alias("date"),
-            F.lit(name).alias("name"),
-            F.lit(state).cast("string").alias("subdivision"),
-        )
-
-    movable = [
-        F.struct(
-            F.date_add(easter_sunday(year), days).alias("date"),
-            F.lit(name).alias("name"),
-            F.lit(None).cast("string").alias("subdivision"),
-        )
-        for days, name in NATIONAL_MOVABLE
-    ]
-    return F.array(
-        *[fixed(m, d, n, None) for m, d, n in NATIONAL_FIXED],
-        *movable,
-        *[fixed(m, d, n, s) for m, d, n, s in STATE_FIXED],
+    """The holidays of a year; those that begin later are left out."""
+    def day(date: Column, name: str, state: str | None, since: int) -> Column:
+        return F.struct(date.alias("date"), F.lit(name).alias("name"), F.lit(state).cast("string").alias("subdivision"),
+                        F.lit(since).alias("since"))
+
+    def fixed(month: int, number: int) -> Column:
+        return F.make_date(year, F.lit(month), F.lit(number))
+
+    def movable(days: int) -> Column:
+        return F.date_add(easter_sunday(year), days)
+
+    listed = F.array(
+        *[day(fixed(m, d), n, None, y) for m, d, n, y in NATIONAL_FIXED],
+        *[day(movable(k), n, None, ALWAYS) for k, n in NATIONAL_MOVABLE],
+        *[day(fixed(m, d), n, s, y) for m, d, n, s, y in STATE_FIXED],
+        *[day(movable(k), n, s, y) for k, n, s, y in STATE_MOVABLE],
     )
+    return F.filter(listed, lambda h: h["since"] <= year)
 
 
 def holiday_table(years: DataFrame, year: str = "year") -> DataFrame:
@@ -103,7 +140,7 @@ def holiday_table(years: DataFrame, year: str = "year") -> DataFrame:
     return (
         years.select(F.col(year).cast("int").alias("year")).distinct()
         .select(F.explode(_rows_of_year(F.col("year"))).alias("h"))
-        .select("h.*")
+        .select("h.date", "h.name", "h.subdivision")
     )
 
 

@@ -19,10 +19,11 @@ def _holiday_sql() -> str:
             SELECT y, c, g, h - (h // 28) * (1 - (29 // (h + 1)) * ((21 - g) // 11)) AS i FROM (
               SELECT y, y // 100 AS c, y % 19 AS g,
                      (19 * (y % 19) + y // 100 - (y // 100) // 4 - (8 * (y // 100) + 13) // 25 + 15) % 30 AS h FROM years)))"""
-    parts = [f"SELECT make_date(y, {m}, {d}) AS date, '{n}' AS name, CAST(NULL AS VARCHAR) AS subdivision FROM years"
-             for m, d, n in HOL.NATIONAL_FIXED]
+    parts = [f"SELECT make_date(y, {m}, {d}) AS date, '{n}' AS name, CAST(NULL AS VARCHAR) AS subdivision FROM years WHERE y >= {since}"
+             for m, d, n, since in HOL.NATIONAL_FIXED]
     parts += [f"SELECT CAST(e + ({k}) AS DATE), '{n}', NULL FROM ({easter})" for k, n in HOL.NATIONAL_MOVABLE]
-    parts += [f"SELECT make_date(y, {m}, {d}), '{n}', '{s}' FROM years" for m, d, n, s in HOL.STATE_FIXED]
+    parts += [f"SELECT make_date(y, {m}, {d}), '{n}', '{s}' FROM years WHERE y >= {since}" for m, d, n, s, since in HOL.STATE_FIXED]
+    parts += [f"SELECT CAST(e + ({k}) AS DATE), '{n}', '{s}' FROM ({easter}) WHERE y >= {since}" for k, n, s, since in HOL.STATE_MOVABLE]
     return " UNION ALL ".join(parts)
 
 
