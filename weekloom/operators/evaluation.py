@@ -70,9 +70,11 @@ def mean_metrics(per_series: DataFrame, group: Sequence[str] = ()) -> DataFrame:
         F.count(F.lit(1)).alias("n_series"))
 
 
-def custom_metrics(pred: DataFrame, names: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
-    """Any registered metrics by name, per group."""
-    return pred.groupBy(*group).agg(*[METRICS[n]().alias(n) for n in names])
+def custom_metrics(pred: DataFrame, metrics: Sequence[str | Callable[[], Column]], group: Sequence[str] = ()) -> DataFrame:
+    """Metrics per group: registered ones by name, a user's own as a function giving an aggregate of ``y`` and
+    ``y_pred``, named like the function."""
+    columns = [METRICS[m]().alias(m) if isinstance(m, str) else m().alias(m.__name__) for m in metrics]
+    return pred.groupBy(*group).agg(*columns)
 
 
 def packed_naive_scale(packed: DataFrame) -> DataFrame:

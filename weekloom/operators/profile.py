@@ -196,8 +196,8 @@ def kernel_density(rows: DataFrame, value: str, group: str, points: int = 50, tr
 
 
 def sample_series(panel: DataFrame, n: int, seed: int, group: str = "demand_type") -> DataFrame:
-    """``n`` series per group drawn by a seeded hash: the same draw on every run and cluster size."""
-    pick = F.xxhash64("unique_id", F.lit(seed))
+    """``n`` series per group drawn by a seeded digest: the same draw on every run, cluster and engine."""
+    pick = F.md5(F.concat("unique_id", F.lit(f"/{seed}")))
     order = Window.partitionBy(group).orderBy(pick, "unique_id")
     ids = panel.select(group, "unique_id").distinct()
     chosen = ids.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).drop("_r")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from math import factorial
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Column, Window, functions as F
 
 from weekloom.functions.text import fold_accents
 from weekloom.operators import demand as D, diagnostics as DG, dimensions as DIM, inventory as INV, panel as P
@@ -294,7 +295,17 @@ def acf_national(i: Inputs):
     return DG.acf(national(i), 30)
 
 
-@AREA.query("pacf_national")
+@AREA.query("pacf_national", sql(f"""
+    SELECT unique_id, lag, {r('t')} AS pacf FROM (
+      WITH RECURSIVE given AS (SELECT unique_id, list(acf ORDER BY lag) AS rs FROM ({acf_sql('nat', 'y', 'unique_id', 30)}) WHERE acf IS NOT NULL GROUP BY 1),
+      levels AS (
+        SELECT unique_id, rs, CAST(1 AS INTEGER) AS lag, rs[1] AS t, [rs[1]] AS phi FROM given
+        UNION ALL
+        SELECT unique_id, rs, lag, t, list_transform(phi, lambda x, j: x - t * phi[len(phi) - j + 1]) || [t] FROM (
+          SELECT unique_id, rs, lag + 1 AS lag, phi,
+                 (rs[lag + 1] - list_inner_product(phi, list_reverse(rs[1:lag]))) / (1 - list_inner_product(phi, rs[1:lag])) AS t
+          FROM levels WHERE lag < len(rs)))
+      SELECT unique_id, lag, t FROM levels)"""))
 def pacf_national(i: Inputs):
     return DG.pacf(DG.acf(national(i), 30))
 
@@ -326,6 +337,43 @@ def decompose(i: Inputs):
     return DG.decompose(national(i), [52])
 
 
+def decomposed_sql(rows: str, periods: list[int]) -> str:
+    """Trend over the longest period, then every period's season from what is left."""
+    p, half = max(periods), max(periods) // 2
+    if p % 2:
+        trend = f"CASE WHEN count(*) OVER a = {p} THEN avg(y) OVER a END"
+        frames = f"a AS (ORDER BY ds ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)"
+    else:
+        trend = f"CASE WHEN count(*) OVER a = {p} AND count(*) OVER b = {p} THEN (sum(y) OVER a + sum(y) OVER b) / {2.0 * p}::DOUBLE END"
+        frames = (f"a AS (ORDER BY ds ROWS BETWEEN {half} PRECEDING AND {half - 1} FOLLOWING), "
+                  f"b AS (ORDER BY ds ROWS BETWEEN {half - 1} PRECEDING AND {half} FOLLOWING)")
+    out = f"SELECT ds, y, t, trend, y - trend AS rest, 0.0::DOUBLE AS season FROM (SELECT ds, y, row_number() OVER (ORDER BY ds) - 1 AS t, {trend} AS trend FROM ({rows}) WINDOW {frames})"
+    for q in periods:
+        out = (f"SELECT ds, y, t, trend, rest - s AS rest, season + s AS season FROM (SELECT *, m - avg(CASE WHEN t < {q} THEN m END) OVER () AS s FROM ("
+               f"SELECT *, avg(rest) OVER (PARTITION BY t % {q}) AS m FROM ({out})))")
+    return out
+
+
+WEEKLY_PERIODS, MONTHLY_PERIODS = [4, 5, 13, 14, 27, 51], [3, 12]
+MONTHS = "SELECT CAST(date_trunc('month', ds) AS DATE) AS ds, CAST(sum(y) AS DOUBLE) AS y FROM nat GROUP BY 1"
+
+
+@AREA.query("decompose_periods", sql(" UNION ALL ".join(f"""
+    SELECT '{scale}' AS scale, ds, {r('y')} AS y, {r('trend')} AS trend, {r('season')} AS season, {r('rest')} AS remainder FROM ({decomposed_sql(rows, periods)})"""
+    for scale, rows, periods in (("week", "SELECT ds, CAST(y AS DOUBLE) AS y FROM nat", WEEKLY_PERIODS), ("month", MONTHS, MONTHLY_PERIODS)))))
+def decompose_periods(i: Inputs):
+    """Several seasons in turn: of weeks and of months."""
+    weeks = national(i).select("unique_id", "ds", F.col("y").cast("double").alias("y"))
+    months = weeks.groupBy("unique_id", F.trunc("ds", "month").alias("ds")).agg(F.sum("y").alias("y"))
+
+    def parts(rows, periods, scale: str):
+        found = DG.decompose(rows, periods)
+        season = functools.reduce(Column.__add__, [F.col(f"season_{p}") for p in periods])
+        return found.select(F.lit(scale).alias("scale"), "ds", "y", "trend", season.alias("season"), "remainder")
+
+    return parts(weeks, WEEKLY_PERIODS, "week").unionByName(parts(months, MONTHLY_PERIODS, "month"))
+
+
 CTES["res"] = "SELECT unique_id, ds, remainder FROM dec WHERE remainder IS NOT NULL"
 
 
@@ -379,7 +427,12 @@ def cluster_monthly(i: Inputs):
 
 # -- samples, sorts, sets, functions -------------------------------------------------------
 
-@AREA.query("sample_series")
+@AREA.query("sample_series", sql(f"""
+    SELECT demand_type, w.ds, {r('avg(coalesce(y, 0))')} AS mean_y, {r('median(coalesce(y, 0))')} AS median_y, count(*) AS n_series
+    FROM (SELECT demand_type, unique_id FROM (SELECT DISTINCT demand_type, unique_id FROM rp)
+          QUALIFY row_number() OVER (PARTITION BY demand_type ORDER BY md5(unique_id || '/42'), unique_id) <= 20) c
+    CROSS JOIN (SELECT CAST(unnest(generate_series(CAST(min(ds) AS TIMESTAMP), CAST(max(ds) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS ds FROM rp) w
+    LEFT JOIN (SELECT unique_id, ds, y FROM rp) p ON p.unique_id = c.unique_id AND p.ds = w.ds GROUP BY 1, 2"""))
 def sample_series(i: Inputs):
     """Mean and median per week over a seeded sample of series per type, on a common week grid."""
     chosen = PR.sample_series(i.model.panel, 20, 42)

@@ -245,6 +245,17 @@ def model_vs_baseline(i: Inputs):
     return scores.withColumns({c: F.round(c, 4) for c in ("mase", "smape", "wape")})
 
 
+@AREA.query("custom_metrics", sql(f"""
+    SELECT demand_type, {r('sum(abs(y - y_pred)) / nullif(sum(abs(y)), 0)')} AS wape, {r('avg(abs(y - y_pred))')} AS mae, {r('avg(y_pred - y)')} AS bias
+    FROM bt GROUP BY 1"""))
+def custom_metrics(i: Inputs):
+    """Two registered metrics by name and one of the user's own."""
+    def bias():
+        return F.avg(F.col("y_pred") - F.col("y"))
+
+    return EV.custom_metrics(i.model.backtest(PER_SERIES_MODELS, run_date()), ["wape", "mae", bias], ["demand_type"])
+
+
 @AREA.query("quality_picks", sql(f"""
     SELECT q.demand_type, unique_id, {r('wape')} AS wape, quality, {r('p10')} AS p10, {r('p50')} AS p50, {r('p90')} AS p90
     FROM (SELECT demand_type, unique_id, wape, CASE WHEN k <= 2 THEN 'best' WHEN k = n // 2 + 1 THEN 'median' WHEN k > n - 2 THEN 'worst' END AS quality
