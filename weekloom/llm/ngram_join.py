@@ -38,6 +38,8 @@ STEP = 20
 TOLERANCE = 1e-6
 BLOCK_TEXTS = 400
 BLOCK_SHINGLES = 500_000
+SIEVE_BITS = 1 << 27
+SEEN = 200_000  # texts a task remembers to have handed on
 WORD = re.compile(r"\w+")
 VALUES = BANDS * ROWS
 
@@ -189,27 +191,56 @@ class NgramJoin:
         placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         return placed.select("fp", "key", "band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side")
 
+    def sieve(self, units: DataFrame) -> np.ndarray:
+        """A Bloom filter of the texts in units, two bits each, as 64-bit words.
+
+        It has 16 bits per text, at most ``SIEVE_BITS``; a full one lets texts through that the join drops later.
+        """
+        texts = units.select("fp").distinct()
+        bits = min(SIEVE_BITS, max(1 << 16, 1 << (16 * texts.count()).bit_length()))
+        h = F.xxhash64("fp")
+        places = texts.select(F.explode(F.array(*(h.bitwiseAND(F.lit(bits - 1)), F.shiftright(h, 32).bitwiseAND(F.lit(bits - 1))))).alias("p"))
+        found = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
+        words = np.zeros(bits >> 6, np.uint64)
+        words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        return words
+
     def grams(self, units: DataFrame) -> DataFrame:
-        """``fp, grams`` of the texts in units: the hashes of their 5-grams as bytes. A text may come more than once."""
-        wanted = self.texts.select("fp", "body").join(units.select("fp").distinct(), "fp", "left_semi")
+        """``fp, grams`` of the texts in units (and few others): the hashes of their 5-grams as bytes.
+
+        Texts are sieved where they are read, so only the hashes of texts with candidates travel. A task hands a text on once;
+        from several tasks it may come more than once.
+        """
+        shared = units.sparkSession.sparkContext.broadcast(self.sieve(units))
 
         def run(batches):
             import pyarrow as pa
 
-            last = None  # copies come one after another
+            words = shared.value
+            last = len(words) * 64 - 1
+            seen: set[bytes] = set()
             for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    part = batch.slice(start, 256)
-                    fps, out = [], []
-                    for fp, text in zip(*(c.to_pylist() for c in part.columns)):
-                        if fp != last:
-                            fps.append(fp)
-                            out.append(shingles(text).tobytes())
-                            last = fp
-                    if fps:
+                h = batch.column("h").to_numpy()
+                inside = np.ones(len(h), bool)
+                for p in (h & last, (h >> 32) & last):
+                    inside &= (words[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+                fps, out = [], []
+                for k in np.flatnonzero(inside).tolist():
+                    fp = batch.column("fp")[k].as_py()
+                    if fp in seen:
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(fp)
+                    fps.append(fp)
+                    out.append(shingles(batch.column("body")[k].as_py()).tobytes())
+                    if len(fps) >= 256:
                         yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(out, pa.binary())], names=["fp", "grams"])
+                        fps, out = [], []
+                if fps:
+                    yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(out, pa.binary())], names=["fp", "grams"])
 
-        return wanted.mapInArrow(run, "fp binary, grams binary")
+        return self.texts.select("fp", "body", F.xxhash64("fp").alias("h")).mapInArrow(run, "fp binary, grams binary")
 
     def linked(self, units: DataFrame) -> DataFrame:
         """``fp, n, root``: per unit and linked text its number of links there and the unit's smallest text it hangs together with."""
