@@ -68,24 +68,22 @@ def with_quantiles(moments: DataFrame, df: DataFrame, column: str, probs: Mappin
 def integrity_report(panel: DataFrame, columns: Sequence[str], key: Sequence[str], value: str) -> DataFrame:
     """NULL share per column, duplicate keys, rows against series x weeks, and the zero rate, as
     ``(check, subject, value)`` rows."""
-    nulls = panel.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in columns])
-    cells = F.array(*[F.struct(F.lit(c).alias("subject"), F.col(c).alias("value")) for c in columns])
-    null_rows = nulls.select(F.explode(cells).alias("c")).select(F.lit("null_share").alias("check"), "c.*")
-    per_key = panel.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    duplicates = per_key.where("n > 1").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("duplicate_keys").alias("check"), F.lit("/".join(key)).alias("subject"), "value")
-    per_series = panel.groupBy(key[0]).agg(
+    per_key = panel.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(value) == 0).alias("z"),
-        F.min(key[1]).alias("lo"), F.max(key[1]).alias("hi"))
-    sums = per_series.agg(
-        F.sum("n").cast("double").alias("rows"), F.count(F.lit(1)).cast("double").alias("series"),
-        (F.sum("z") / F.sum("n")).alias("zero_rate"),
-        (F.count(F.lit(1)) * (F.datediff(F.max("hi"), F.min("lo")) / 7 + 1)).alias("full_grid_rows"))
-    names = ["rows", "series", "zero_rate", "full_grid_rows"]
-    more = sums.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("subject"), F.col(n).alias("value")) for n in names])).alias("c")).select(
-        F.lit("panel").alias("check"), "c.*")
-    return null_rows.unionByName(duplicates).unionByName(more)
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in columns])
+    per_series = per_key.groupBy(key[0]).agg(
+        F.sum("n").alias("n"), F.sum("z").alias("z"), F.count_if(F.col("n") > 1).alias("twice"),
+        F.min(key[1]).alias("lo"), F.max(key[1]).alias("hi"), *[F.sum(f"_null_{c}").alias(f"_null_{c}") for c in columns])
+    total = F.sum("n")
+    found = [("null_share", c, F.sum(f"_null_{c}") / total) for c in columns]
+    found += [
+        ("duplicate_keys", "/".join(key), F.sum("twice")), ("panel", "rows", total), ("panel", "series", F.count(F.lit(1))),
+        ("panel", "zero_rate", F.sum("z") / total),
+        ("panel", "full_grid_rows", F.count(F.lit(1)) * (F.datediff(F.max("hi"), F.min("lo")) / 7 + 1)),
+    ]
+    cells = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(subject).alias("subject"), v.cast("double").alias("value"))
+                      for check, subject, v in found])
+    return per_series.agg(cells.alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
 
 
 def month_grid(monthly_rows: DataFrame, key: str, date: str, value: str) -> DataFrame:
@@ -138,18 +136,22 @@ def zero_share_by_level(panel: DataFrame) -> DataFrame:
 def zero_cascade(dense: DataFrame) -> DataFrame:
     """Share of zero cells at five planning grains, coarse to fine.
 
-    Each grain is summed from the finest one that contains it, so rows shrink from step to step.
+    Each grain is summed from the finest one that contains it, so rows shrink from step to step. The monthly
+    cells, which also count the weekly ones, are written once: the weekly rows are made a single time.
     """
     fine = dense.withColumns({"year": F.year("ds"), "month_date": D.month_start(F.col("ds"))})
     series = ["region_id", "supplier_id", "product_id"]
-    tactical = fine.groupBy("year", "month_date", *series).agg(F.sum("y").alias("y"))
+    tactical = pin(fine.groupBy("year", "month_date", *series).agg(
+        F.sum("y").alias("y"), F.count_if(F.col("y") == 0).alias("zeros"), F.count(F.lit(1)).alias("weeks")))
     by_supplier = tactical.groupBy("year", "region_id", "supplier_id").agg(F.sum("y").alias("y"))
     by_region = by_supplier.groupBy("year", "region_id").agg(F.sum("y").alias("y"))
     national = by_region.groupBy("year").agg(F.sum("y").alias("y"))
     grains = [("year", national), ("year/region", by_region), ("year/region/supplier", by_supplier),
-              ("month/region/supplier/product", tactical), ("week/series", fine)]
+              ("month/region/supplier/product", tactical)]
     parts = [df.agg(F.avg((F.col("y") == 0).cast("double")).alias("zero_rate"), F.count(F.lit(1)).alias("cells"))
              .select(F.lit(name).alias("grain"), "zero_rate", "cells") for name, df in grains]
+    parts.append(tactical.agg((F.sum("zeros") / F.sum("weeks")).alias("zero_rate"), F.sum("weeks").alias("cells"))
+                 .select(F.lit("week/series").alias("grain"), "zero_rate", "cells"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

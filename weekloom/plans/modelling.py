@@ -68,8 +68,7 @@ class Modelling:
     @cached_property
     def static(self) -> DataFrame:
         """Supplier, region and product codes of each series; -1 where a level has no product."""
-        bronze = self.tables.sales(region=False, attributes=True)
-        products = DIM.product_dimension(bronze).drop("product_name")
+        products = DIM.product_dimension(self.tables.sold_products()).drop("product_name")
         part = F.split("unique_id", "/")
         valid = PREP.series_segments(self.tables).where(F.col("segment") == "valid")
         ids = valid.select(
@@ -88,7 +87,7 @@ class Modelling:
 
     @cached_property
     def holidays(self) -> DataFrame:
-        source = H.holiday_table(H.years_covered(self.tables.line_dates(), "date", self.h))
+        source = H.holiday_table(H.years_covered(self.tables.date_bounds(), "date", self.h))
         return FE.holiday_features(self.weeks, source, H.region_states(self.tables.spark))
 
     @cached_property
@@ -257,6 +256,7 @@ class Modelling:
         for kind, model in models.items():
             where[model] = where.get(model, F.lit(False)) | (F.col("demand_type") == kind)
         cv = EV.cv_forecasts(train, where, self.h, n_windows, self.h, keep=("unique_id", "demand_type", "naive_mae"))
+        cv = pin(cv.select("demand_type", "y", "y_pred", "naive_mae"))  # ranks over the residuals read them several times
         residuals = INV.residual_quantiles(cv)
         point = EV.test_rows(FC.route(held_out, models, self.h, "_fc"), {"y_pred": "_fc"},
                              ["unique_id", "demand_type", "naive_mae"])

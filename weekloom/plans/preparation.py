@@ -4,23 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weekloom.functions import dates as D
-from weekloom.operators import demand, dimensions, panel as P
+from weekloom.operators import demand, panel as P
 from weekloom.sources.retail import RetailTables
 
 MODEL_LEVELS = [["supplier_id"], ["supplier_id", "product_id"]]
 
 
 def last_sales_week(tables: RetailTables) -> Column:
-    """Latest week of the whole table as a scalar, from a one-column scan."""
-    return tables.line_dates().agg(D.week_start(F.max("date"))).scalar()
+    """Latest week of the whole table as a scalar."""
+    return tables.weekly.agg(F.max("ds")).scalar()
 
 
 def model_weekly(tables: RetailTables) -> DataFrame:
     """Weekly totals of the modelling levels (supplier, supplier/product) before gap filling."""
-    sales = tables.sales(product=True, region=False)
-    weekly = dimensions.weekly_totals(sales, "supplier_id", "product_id")
-    return P.hierarchy_panel(weekly, MODEL_LEVELS)
+    return P.hierarchy_panel(tables.weekly.select("supplier_id", "product_id", "ds", "y"), MODEL_LEVELS)
 
 
 def segmented_weekly(tables: RetailTables) -> DataFrame:

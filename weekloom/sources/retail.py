@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from weekloom.functions import dates as D
+from weekloom.session import pin
 from weekloom.sources.tables import read_parquet
 
 
@@ -32,6 +36,29 @@ class RetailTables:
             .select(F.col("s_suppkey").alias("supplier_id"), F.col("r_name").alias("region"), "region_id")
         )
 
+    @cached_property
+    def weekly(self) -> DataFrame:
+        """Weekly units per supplier and product with the first and last sale date in each week, written once.
+
+        One scan of the order lines serves whatever works on weeks: panel, segments, span, calendar bounds.
+        """
+        sales = self.sales(product=True, region=False)
+        return pin(sales.groupBy("supplier_id", "product_id", D.week_start(F.col("date")).alias("ds")).agg(
+            F.sum("units_sold").alias("y"), F.min("date").alias("first_date"), F.max("date").alias("last_date")))
+
+    def sold_products(self) -> DataFrame:
+        """Product and attributes of every part that was sold, from a one-column scan of the order lines."""
+        sold = self.table("lineitem", "l_partkey").distinct()
+        parts = self.table("part", "p_partkey", "p_type", "p_brand", "p_size")
+        return parts.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left_semi").select(
+            F.col("p_type").alias("product_id"), F.col("p_brand").alias("product_attribute_1"),
+            F.col("p_type").alias("product_attribute_2"), F.col("p_size").cast("string").alias("product_attribute_3"))
+
+    def date_bounds(self) -> DataFrame:
+        """Dates that hold the first and the last sale date, from the weekly table."""
+        ends = self.weekly.agg(F.min("first_date").alias("lo"), F.max("last_date").alias("hi"))
+        return ends.select(F.explode(F.array("lo", "hi")).alias("date"))
+
     def line_dates(self) -> DataFrame:
         """Only the sale date of every line, for calendar bounds."""
         return self.table("lineitem", "l_shipdate").select(F.col("l_shipdate").cast("date").alias("date"))

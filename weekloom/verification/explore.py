@@ -319,7 +319,7 @@ ACF_BY_TYPE = acf_sql("rp", "y", "unique_id, demand_type", 26)
            lag IN (4, 8, 13, 26) AND abs(avg(acf)) > 1.96 / sqrt((SELECT count(DISTINCT ds) FROM rp)) AS significant_model_lag
     FROM ({ACF_BY_TYPE}) WHERE n >= 20 AND acf IS NOT NULL GROUP BY 1, 2"""))
 def acf_by_type(i: Inputs):
-    return DG.acf_by_group(i.model.panel, 26, 20, [4, 8, 13, 26])
+    return DG.acf_by_group(pin(i.model.panel), 26, 20, [4, 8, 13, 26])
 
 
 CTES["dec"] = """
