@@ -27,6 +27,7 @@ from weekloom.llm.common import map_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+BATCH = 64  # texts encoded together; the ids of both libraries lie in memory as Python lists
 MAX_MODEL_BYTES = 64 << 20  # the model travels to every task
 
 # fixed values: piece types and model types of the protobuf
@@ -200,7 +201,7 @@ def encode_documents(docs: DataFrame, model: bytes | None = None) -> DataFrame:
         return [ids, sizes, lists, list(same), list(back)]
 
     return map_slices(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-                      "doc_id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean", work)
+                      "doc_id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean", work, rows=BATCH)
 
 
 def decode_documents(encoded: DataFrame, model: bytes | None = None) -> DataFrame:
