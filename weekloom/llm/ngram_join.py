@@ -315,7 +315,8 @@ def components(edges: DataFrame) -> DataFrame:
             both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
         else:
             both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that the join deals both sides anew and Spark can split the rows of a hub
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "join-least")
         hung = both.join(least, "u")
         if large:
             hung = hung.where("v > u").select(F.col("v").alias("fp"), F.col("m").alias("root"))
