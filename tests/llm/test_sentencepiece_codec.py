@@ -64,3 +64,21 @@ def test_documents(spark):
     back = {r["doc_id"]: r["text"] for r in codec.decode_documents(got).collect()}
     assert back[1] == "one two" and back[4] == " x\u0000" and back[None] == ""
     assert codec.encode_documents(docs.limit(0)).count() == 0
+
+
+def test_round_trip_is_decoded():
+    """A wrong decoder shows in both checks, on the texts it gets wrong."""
+    from tokenizers import decoders
+
+    built = codec.Codec(codec.load())
+    given = ["one two", "", "é\u0000 x", "  a"]
+    assert [c[1:] for c in built.encode_checked(given)] == [(True, True)] * 4
+    built.whole.decoder = decoders.Sequence([decoders.Replace("▁", " "), decoders.ByteFallback(), decoders.Fuse()])
+    assert [c[1:] for c in built.encode_checked(given)] == [(False, False), (True, True), (False, False), (False, False)]
+
+
+def test_round_trip_compares_with_the_given_text():
+    """The same model, told to squeeze spaces: the ids agree, but two spaces do not come back."""
+    built = codec.Codec(codec.load() + b"\x1a\x02\x20\x01")
+    assert built.model.squeeze
+    assert [c[1:] for c in built.encode_checked(["a b", "a  b", " a"])] == [(True, True), (True, False), (True, False)]
