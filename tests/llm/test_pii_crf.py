@@ -108,3 +108,17 @@ def test_documents(spark):
     assert masked == sorted(map(str, [(1, "[EMAIL]", "x", 7), (None, None, "y", None), (2, "", "z", 0), (2, "", "z", 0), (3, "ip [IP]", None, 7)]))
     empty = docs.limit(0)
     assert p.find_personal_data(empty, p.fitted(empty)).count() == 0
+
+
+def test_rare_kinds_are_trained_beside_thousands_of_other_shapes(spark):
+    """The field sees every kind, however many shapes have none."""
+    draw = random.Random(4)
+    rare = ["+1 (269) 555-3296", "+44 20 7946 1234", "4111 1111 1111 1111", "5555-5555-5555-4444", "jo1.x2@mail3.example.com", "10.0.0.1"]
+    texts = ["".join(draw.choices("0123456789abcdef", k=draw.randint(20, 40))) for _ in range(5000)] + rare
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = p.training_regions(docs)
+    assert set(rare) <= set(got) and len(got) == p.TRAIN_REGIONS
+    assert got == p.training_regions(docs.repartition(7))
+    model = p.SemiCrf().fit(got)
+    assert [model.decode(t, "", "") for t in ("+1 (415) 555-0123", "4012 8888 8888 1881")] == [[(0, 3, 17)], [(0, 2, 19)]]
+    assert not any(model.decode(t, "", "") for t in texts[:300])

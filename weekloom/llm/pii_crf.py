@@ -6,8 +6,10 @@ chooses boundaries and types together. Outside the regions every token is ordina
 the regions without loss. Segments that overlap no base span are added under the kind they were given.
 
 The weights are trained here: regions labelled by the base patterns are gathered from all documents, one per shape (digits and
-letters made alike), and the ``TRAIN_REGIONS`` of them with the smallest hash are fitted by gradient ascent on the likelihood. That
-bound is the only sample; scanning covers whole texts of all rows.
+letters made alike), and ``TRAIN_REGIONS`` of them are fitted by gradient ascent on the likelihood. Every base kind, and the shapes
+without one, has an equal share of these places for its smallest hashes, so that shapes without personal data, which grow with the
+corpus, never crowd out a rare kind; a region of several kinds counts for each. Places left over go to the smallest hashes of the rest.
+That bound is the only sample; scanning covers whole texts of all rows.
 
 Null and empty texts have no spans. Repeated rows give equal rows, a null ``doc_id`` stays null; only ``doc_id`` and ``text`` are read.
 With no region to learn from (an empty table) the field adds nothing. Patterns are written so that long runs cost linear time.
@@ -20,7 +22,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import map_slices
@@ -223,7 +225,7 @@ class SemiCrf:
 
 
 def training_regions(docs: DataFrame, bound: int = TRAIN_REGIONS) -> list[str]:
-    """At most ``bound`` regions, one per shape, those with the smallest hash; drawn from all documents."""
+    """At most ``bound`` regions, one per shape and base kind (or none), those with the smallest hash of each kind; drawn from all documents."""
     def work(texts):
         shapes = {}
         for text in texts:
@@ -231,12 +233,17 @@ def training_regions(docs: DataFrame, bound: int = TRAIN_REGIONS) -> list[str]:
                 if b - a <= TRAIN_REGION_CHARS:
                     region = text[a:b]
                     shape = re.sub("[a-zA-Z]+", "a", re.sub("[0-9]", "9", region))
-                    shapes[shape] = min(shapes.get(shape, region), region)
-        return [list(shapes), list(shapes.values())]
-
-    found = map_slices(docs.select(F.col("text").cast("string")), "shape string, region string", work)
-    picked = found.groupBy("shape").agg(F.min("region").alias("region")).orderBy(F.xxhash64("shape"), "shape").limit(bound)
-    return [r["region"] for r in picked.collect()]
+                    for kind in {k for _, k, _ in base_spans(region)} or {len(KINDS)}:
+                        shapes[kind, shape] = min(shapes.get((kind, shape), region), region)
+        return [[k for k, _ in shapes], [s for _, s in shapes], list(shapes.values())]
+
+    found = map_slices(docs.select(F.col("text").cast("string")), "kind int, shape string, region string", work)
+    found = found.groupBy("kind", "shape").agg(F.min("region").alias("region")).withColumn("h", F.xxhash64("shape"))
+    # each task passes on at most ``bound`` rows of a kind before the ranks are made
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("h", "shape"))
+    ranked = found.withColumn("place", place).where(F.col("place") <= bound)
+    picked = ranked.orderBy(F.col("place") > bound // (len(KINDS) + 1), "h", "shape", "kind").limit(bound)
+    return list(dict.fromkeys(r["region"] for r in picked.collect()))
 
 
 def all_spans(text: str, model: SemiCrf) -> tuple[list[Span], list[Span]]:
