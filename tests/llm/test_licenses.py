@@ -71,3 +71,29 @@ def test_every_rule_holds_its_keyword():
         for rule in licenses.signature_rules():
             if re.search(rule.pattern, text):
                 assert any(k in text for k in rule.keywords), (rule, text)
+
+
+def test_gate_passes_every_separator():
+    """Wrapped, doubled and hyphenated wordings give what the rules find without a gate."""
+    names = [licenses.split_fields(line)[1] for line in licenses.LICENSES.strip().splitlines()]
+    plain = [re.sub(r"\(\?:([^()|]*)[^()]*\)\??", r"\1", n).replace("[cs]", "s").replace(" ?", " ").replace("[a-z*]+", "x").replace("[a-z]+", "s").replace(".", "-")
+             for n in names]
+    wordings = [f"licensed under the {name}, version 2.1" for name in plain] + [re.sub(r"\(\?:([^()|]*)[^()]*\)\??", r"\1", t[2]).replace(".{1,120}?", "x") for t in licenses.TEXTS]
+    met = set()
+    for text in wordings:
+        for gap in (" ", "\n", "  ", "\r\n  ", "\t", "-", "_", " - ", "\u00a0"):
+            given = f"see {text.replace(' ', gap)} 1.0"
+            want = [(m.start(), m.end(), i) for i, r in enumerate(licenses.signature_rules()) for m in re.finditer(r.pattern, given)]
+            assert sorted(d[:3] for d in licenses.detections(given)) == sorted(want), given
+            met |= {licenses.signature_rules()[i].keywords for *_, i in want}
+    assert {r.keywords for r in licenses.signature_rules()} - met == {("licenses/", "/mpl/", "publicdomain/"), ("spdx",)}
+
+
+def test_wrapped_notices():
+    def labels(text):
+        return licenses.describe(text)[5]
+
+    assert labels("GNU Lesser General\nPublic License, version 2.1") == "lgpl-2.1"
+    assert labels("Creative\nCommons Attribution 4.0") == "cc-by-4.0"
+    assert labels("Permission is hereby\ngranted, free of charge, to any person obtaining a copy") == "mit"
+    assert labels("Common  Development-and Distribution License 1.0") == "cddl-1.0"

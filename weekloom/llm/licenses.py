@@ -1,7 +1,8 @@
 """License detection by ordered signature rules.
 
 A few hundred regular expressions, written by hand as (license, wording) pairs, run over the lower-cased text. Each rule names a
-literal keyword its matches contain; a text without the keyword never runs the rule. A detection is dropped when its interval lies
+literal keyword its matches contain, any run of white space, ``-`` and ``_`` counting as one space; a text without the keyword never
+runs the rule. A detection is dropped when its interval lies
 inside that of a detection that ranks before it: lower priority number first, then the longer one, then the earlier rule. The
 container may itself be dropped: containment is transitive, so the outcome does not depend on the order of the checks.
 
@@ -12,6 +13,7 @@ Null and empty texts have no words and no labels; positions are null and the sco
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -101,12 +103,13 @@ NOTICES = (
     (r"{}", 5, 0.75),
 )
 PHRASE_WEIGHT = 0.6
+GAP = re.compile(r"[\s\-_]+")
 
 
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keywords: tuple[str, ...]  # one of them is in every match
+    keywords: tuple[str, ...]  # one of them is in every match, its words separated by any of GAP
     pattern: str
     priority: int
     weight: float
@@ -151,11 +154,37 @@ def compiled() -> tuple[tuple[tuple[str, ...], tuple[tuple[int, Rule, re.Pattern
     return tuple((k, tuple(v)) for k, v in groups.items())
 
 
+@lru_cache(maxsize=None)
+def words_of(keyword: str) -> list[str]:
+    return GAP.split(keyword)
+
+
+def gate(text: str) -> Callable[[tuple[str, ...]], bool]:
+    """Whether one of the keywords is in the text, however its words are separated; the copy with single spaces is made when first needed."""
+    plain = None
+
+    def passes(keywords: tuple[str, ...]) -> bool:
+        nonlocal plain
+        for keyword in keywords:
+            if keyword in text:
+                return True
+            words = words_of(keyword)
+            if len(words) > 1 and all(w in text for w in words):
+                if plain is None:
+                    plain = GAP.sub(" ", text)
+                if " ".join(words) in plain:
+                    return True
+        return False
+
+    return passes
+
+
 def detections(text: str) -> list[tuple[int, int, int, Rule]]:
     """(start, end, rule's place, rule) of every match in a lower-cased text, before suppression."""
     found = []
+    passes = gate(text)
     for keywords, rules in compiled():
-        if any(k in text for k in keywords):
+        if passes(keywords):
             for i, rule, pattern in rules:
                 found += [(m.start(), m.end(), i, rule) for m in pattern.finditer(text)]
     return found
