@@ -30,7 +30,8 @@ STRONG = (
 # kind, pattern
 WEAK = (
     ("id", r"(?<![A-Za-z0-9])(?!AKIA)(?=[A-Z]{0,39}[0-9])(?=[0-9]{0,39}[A-Z])[A-Z0-9]{16,40}(?![A-Za-z0-9])"),
-    ("secret", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/]{0,63}[0-9])(?=[A-Z0-9+/]{0,63}[a-z])(?=[a-z0-9+/]{0,63}[A-Z])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=_-])"),
+    # a maximal run; a single "=" before it assigns, two are the padding of another run
+    ("secret", r"(?<![A-Za-z0-9+/_-])(?<!==)(?=[A-Za-z+/]*+[0-9])(?=[A-Z0-9+/]*+[a-z])(?=[a-z0-9+/]*+[A-Z])[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/=_-])"),
     ("endpoint", r"(?:https?|jdbc:[a-z]+|postgres|mysql|redis|mongodb|amqp)://[A-Za-z0-9._~:/?#@!&()*+,;=%-]+"),
 )
 KINDS = tuple(k for k, *_ in STRONG) + tuple(k for k, _ in WEAK)
