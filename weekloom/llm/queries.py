@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import decontaminate, lattice_lm, licenses, ngram_join, perspectives, pii_crf, quality, secrets, sentencepiece_codec, url_rules
+from weekloom.llm import decontaminate, lattice_lm, licenses, merkle, ngram_join, packing, perspectives, pii_crf, quality, secrets, sentencepiece_codec, url_rules, whitening
 from weekloom.llm.common import table
 
 
@@ -56,8 +56,21 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).places.drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lattice_likelihood, op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_perspective_rotation, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec)
+    f.__name__: f for f in (op1_lattice_likelihood, op2_url_rules, op3_credential_linking, op4_license_rules, op5_pigeonhole_decontamination, op6_ngram_jaccard_join, op7_perspective_rotation, op8_personal_data, op9_quality_cascade, op10_sentencepiece_codec,
+                              op11_embedding_whitening, op12_merkle_manifest, op13_best_fit_packing)
 }
 
 ORACLES: dict[str, str] = {
