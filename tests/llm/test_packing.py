@@ -2,8 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from tests.conftest import SF
 from weekloom.llm import packing
 
 SCHEMA = "doc_id long, text string, ids string, offset int"
@@ -106,17 +109,37 @@ def test_few_sequences():
     assert bins <= 1.001 * sum(lengths) / 2048 + 1
 
 
-def test_words_give_the_librarys_ids(library):
+def lists(coder, given):
+    ids, lengths = coder.encode(pa.array(given, pa.string()), 7)
+    return [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
+
+
+@pytest.mark.parametrize("word_wise", [True, False])
+def test_words_give_the_librarys_ids(library, word_wise):
     given = [t or "" for t in texts()]
-    got = packing.Encoder(packing.tokenizer_path()).encode(given)
-    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [library.encode(t, add_special_tokens=False).ids for t in given]
+    coder = packing.Encoder(packing.tokenizer_path(), word_wise)
+    assert lists(coder, given) == [library.encode(t, add_special_tokens=False).ids + [7] for t in given]
+
+
+def test_real_texts(library):
+    given = [t or "" for t in pq.read_table(f"{SF}/documents.parquet").column("text").to_pylist()]
+    assert lists(packing.Encoder(packing.tokenizer_path()), given) == [library.encode(t, add_special_tokens=False).ids + [7] for t in given]
 
 
 def test_forgotten_words(monkeypatch, library):
     monkeypatch.setattr(packing, "WORDS_KEPT", 10)
+    monkeypatch.setattr(packing, "JOINED", 3)
     coder = packing.Encoder(packing.tokenizer_path())
-    for part in (["a b c d e f", "g h i"], ["a z y x w", "b q"], ["a b"]):
-        assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(part)] == [library.encode(t, add_special_tokens=False).ids for t in part]
+    for part in (["a b c d e f, g!?", "g h i"], ["a z y x w wörd.", "b q"], ["a b"], ["", "z" * 500 + " ßÿ; x,y 0 a'll"]):
+        assert lists(coder, part) == [library.encode(t, add_special_tokens=False).ids + [7] for t in part]
+    assert len(coder.slot) <= 20
+
+
+def test_slices_hold_whole_rows():
+    batch = pa.record_batch([pa.array(range(6)), pa.array(["a" * 9, None, "b" * 30, "", "c", "d" * 10])], names=["doc_id", "text"])
+    parts = list(packing.slices(batch, 10))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert [p.num_rows for p in parts] == [2, 1, 2, 1]
 
 
 def test_odd_rows(spark):

@@ -7,8 +7,8 @@ first. Pieces come in windows, the longest of a window first, so that short ones
 the end of a task is packed again in the next round, by as many fewer tasks as there are fewer pieces, until one task is left.
 
 Ids are those of the ``tokenizers`` library for the whole text. As the tokenizer drops white space and no token crosses it, texts are
-put together from the ids of their words, and the library encodes each different word once per task (``word_wise=False`` encodes whole
-texts, for tokenizers that keep spaces). Null and empty texts are the end id alone. Repeated rows are packed as often as they come, equal
+put together from the ids of their words, and the library encodes each different word once per task, new ones many at a time
+(``word_wise=False`` encodes whole texts, for tokenizers that keep spaces). Null and empty texts are the end id alone. Repeated rows are packed as often as they come, equal
 lengths in the order read; a null ``doc_id`` stays null. Very long texts are read whole and cut only into pieces. An empty table gives no
 rows. Only ``doc_id`` and ``text`` are read, so other columns may have any name.
 """
@@ -19,21 +19,26 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import map_slices, written
+from weekloom.llm.common import written
 
 SIZE = 2048  # tokens of a sequence
 END_ID = 0
 OPEN_BINS = 4096
 WINDOW = 16384  # pieces sorted together
 PIECES_PER_TASK = 1 << 17
-WORDS_KEPT = 1 << 18  # words whose ids a task remembers
-LONGEST_KEPT = 64
+WORDS_KEPT, IDS_KEPT = 1 << 20, 1 << 24  # a task forgets the ids of words beyond so many words or ids
+JOINED = 2000  # new words encoded as one text
+SLICE_BYTES = 4 << 20  # text worked on at a time, or one document
+# words of one unit, and of two, whatever stands beside them: letters that are one character in any case, and stops behind them
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+STOPPED = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]+$"
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECE}, key long, sequence_id long, offset long, open boolean"
@@ -46,34 +51,94 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """Ids of whole texts as packed 32-bit integers."""
+    """Ids of whole texts, one after the other."""
 
     def __init__(self, path: str, word_wise: bool = True):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.word_wise = word_wise
-        self.known: dict[str, bytes] = {}
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(1 + max(self.library.get_vocab().values()), bool)
+        if suffix:
+            self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.flat, self.start, self.length = np.empty(1 << 16, "<u4"), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.used = 0
+
+    def encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one after the other, and each text's number of ids."""
+        each = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each))
+
+    def encode_joined(self, words: list[str], parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Likewise for words that are known to fall into ``parts`` units each: encoded as running text, cut at the units' last tokens."""
+        ids, _ = self.encode_each([" ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)])
+        cuts = np.flatnonzero(self.ends[ids])[parts - 1::parts] + 1
+        if len(cuts) != len(words) or len(cuts) and cuts[-1] != len(ids):
+            return self.encode_each(words)
+        return ids, np.diff(cuts, prepend=0)
+
+    def learn(self, words) -> None:
+        """Keep the ids of new words, an Arrow array."""
+        import pyarrow.compute as pc
+
+        joined = bool(self.ends.any())
+        plain = pc.and_(pc.match_substring_regex(words, PLAIN), joined)
+        stopped = pc.and_(pc.match_substring_regex(words, STOPPED), joined)
+        kinds = [words.filter(mask).to_pylist() for mask in (pc.invert(pc.or_(plain, stopped)), plain, stopped)]
+        found = [self.encode_each(kinds[0]), self.encode_joined(kinds[1], 1), self.encode_joined(kinds[2], 2)]
+        first, count = len(self.slot), len(words)
+        self.slot.update(zip(chain.from_iterable(kinds), range(first, first + count)))
+        sizes = np.concatenate([s for _, s in found])
+        total = int(sizes.sum())
+        self.flat = grown(self.flat, self.used, total)
+        self.start, self.length = grown(self.start, first, count), grown(self.length, first, count)
+        self.flat[self.used:self.used + total] = np.concatenate([i for i, _ in found])
+        self.length[first:first + count] = sizes
+        self.start[first:first + count] = self.used + np.cumsum(sizes) - sizes
+        self.used += total
+
+    def encode(self, texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts`` (an Arrow array without nulls), an end id after each, and each text's number of ids."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    def encode(self, texts: list[str]) -> list[bytes]:
         if not self.word_wise:
-            return self.batch(texts)
+            ids, lengths = self.encode_each(texts.to_pylist())
+            return np.insert(ids, np.cumsum(lengths), end_id), lengths + 1
         # only blanks and line ends are cut at: all tokenizers of this kind take them as white space
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*words) - self.known.keys()
-        fresh = dict(zip(new, self.batch(list(new)))) if new else {}
-        if len(self.known) + len(fresh) > WORDS_KEPT:
-            fresh = {w: self.known[w] for w in set().union(*words) & self.known.keys()} | fresh
-            self.known = {}
-        self.known |= fresh
-        out = [b"".join(map(self.known.__getitem__, w)) for w in words]
-        for w in fresh:
-            if len(w) > LONGEST_KEPT:
-                del self.known[w]
-        return out
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        if len(self.slot) > WORDS_KEPT or self.used > IDS_KEPT:
+            self.forget()
+        slot = np.fromiter(map(self.slot.get, different, repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            self.learn(coded.dictionary.take(pa.array(new)))
+            slot[new] = np.fromiter((self.slot[different[i]] for i in new.tolist()), np.int64, len(new))
+        slots = slot[coded.indices.to_numpy()]
+        ends = np.cumsum(words.value_lengths().to_numpy())
+        sizes = np.insert(self.length[slots], ends, 1)
+        starts = np.insert(self.start[slots], ends, 0)
+        after = np.cumsum(sizes)
+        ids = self.flat[np.repeat(starts - after + sizes, sizes) + np.arange(after[-1])]
+        last = after[ends + np.arange(len(ends))]
+        ids[last - 1] = end_id
+        return ids, np.diff(last, prepend=0)
+
+
+def grown(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """``array`` with room for ``more`` entries behind the used ones."""
+    if used + more <= len(array):
+        return array
+    out = np.empty(max(2 * len(array), used + more), array.dtype)
+    out[:used] = array[:used]
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -81,25 +146,39 @@ def encoder_of(path: str, word_wise: bool) -> Encoder:
     return Encoder(path, word_wise)
 
 
+def slices(batch, most: int = SLICE_BYTES):
+    """Parts of a batch whose texts (column 1) hold some ``most`` bytes, of one row at least."""
+    import pyarrow.compute as pc
+
+    after = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(after, (after[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def cut_documents(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID, word_wise: bool = True) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, ids``."""
 
-    def work(doc_ids, texts):
+    def run(batches):
         import pyarrow as pa
 
-        tail = np.array([end_id], "<u4").tobytes()
-        rows, flat, ends = [], [], [0]
-        for doc, ids in zip(doc_ids, encoder_of(path, word_wise).encode([t or "" for t in texts])):
-            ids += tail
-            for piece, at in enumerate(range(0, len(ids), 4 * size)):
-                part = ids[at:at + 4 * size]
-                rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                flat.append(part)
-                ends.append(ends[-1] + len(part) // 4)
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(flat), "<u4").astype(np.int32)))
-        return [*map(list, zip(*rows)), lists]
-
-    return map_slices(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), f"{PIECE}, ids array<int>", work, rows=64)
+        for batch in batches:
+            for part in slices(batch):
+                ids, lengths = encoder_of(path, word_wise).encode(part.column(1).fill_null(""), end_id)
+                pieces = -(-lengths // size)
+                row = np.repeat(np.arange(len(lengths)), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                length = np.minimum(size, lengths[row] - piece * size)
+                after = np.cumsum(length)
+                view = memoryview(ids).cast("B")
+                crc = [zlib.crc32(view[4 * (a - n):4 * a]) for a, n in zip(after.tolist(), length.tolist())]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], after]).astype(np.int32)), pa.array(ids.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(piece * size), pa.array(length),
+                                                  pa.array(crc, pa.int64()), lists], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"{PIECE}, ids array<int>")
 
 
 class Bins:
