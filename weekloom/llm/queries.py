@@ -140,6 +140,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 2 * n_letters < word_chars OR NOT (2 * n_words <= word_chars AND word_chars <= 25 * n_words)
             OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines)) AS kept
 FROM judged
+""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE given AS (
+  SELECT *, CASE WHEN doc_id IS NULL THEN false ELSE xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 2 = 0 END AS touched
+  FROM documents
+), heads AS (
+  SELECT *, coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head,
+         CASE WHEN touched THEN replace(text, chr(10), '') ELSE text END AS late
+  FROM given
+), hashed AS (
+  SELECT doc_id, coalesce('s' || source, '') AS grp, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(octet_length(encode(late)) || ':' || late, '-')) AS claimed
+  FROM heads
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM hashed
+), tree AS (
+  SELECT 0 AS lvl, grp, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT lvl + 1, grp, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 2) // 3) FROM tree WHERE n > 1 GROUP BY lvl, grp, pos // 3
+), subroots AS (
+  SELECT grp, digest AS subroot, lvl AS height, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+), crown AS (
+  SELECT 0 AS lvl, pos, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 2) // 3) FROM crown WHERE n > 1 GROUP BY lvl, pos // 3
+), nodes AS (
+  SELECT grp, lvl, pos, digest, n FROM tree WHERE n > 1
+  UNION ALL SELECT NULL, lvl, pos, digest, n FROM crown WHERE n > 1
+), steps AS (
+  SELECT a.grp, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM nodes a JOIN nodes b ON a.grp IS NOT DISTINCT FROM b.grp AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 GROUP BY ALL
+), ways AS (
+  SELECT l.grp, l.pos, s.lvl, s.before, s.after FROM leaves l JOIN steps s ON s.grp = l.grp AND s.pos = l.pos // CAST(power(3, s.lvl) AS BIGINT)
+  UNION ALL
+  SELECT l.grp, l.pos, r.height + s.lvl, s.before, s.after
+  FROM leaves l JOIN subroots r USING (grp) JOIN steps s ON s.grp IS NULL AND s.pos = r.pos // CAST(power(3, s.lvl) AS BIGINT)
+), proofs AS (
+  SELECT grp, pos, string_agg(before || after, '' ORDER BY lvl) AS proof, list(before || '|' || after ORDER BY lvl) AS steps FROM ways GROUP BY grp, pos
+), done AS (
+  SELECT l.doc_id, l.leaf, r.subroot, (SELECT digest FROM crown WHERE n = 1) AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+         list_reduce(list_prepend(l.claimed, coalesce(p.steps, [])), lambda acc, step: sha256(split_part(step, '|', 1) || acc || split_part(step, '|', 2))) AS folded_root
+  FROM leaves l JOIN subroots r USING (grp) LEFT JOIN proofs p ON p.grp = l.grp AND p.pos = l.pos
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done
 """,
 }
 
