@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekloom.operators import dimensions as DIM, evaluation as EV, features as FE, forecasters as FC, panel as P
-from weekloom.operators import inventory as INV, trees as TR
+from weekloom.operators import inventory as INV, lags as L, quantile_regression as QR, trees as TR
 from weekloom.plans import preparation as PREP
 from weekloom.sources import holidays as H, sinks as K
 from weekloom.session import pin
@@ -19,6 +19,7 @@ from weekloom.sources.retail import RetailTables
 
 HORIZON = 4
 TREE_MODEL = "GBT"
+YEAR_WINDOWS = 13  # windows of 4 weeks
 
 # demand types whose default forecaster is the global tree model
 TREE_TYPES = {"smooth"}
@@ -246,18 +247,62 @@ class Modelling:
 
     # -- quantiles -------------------------------------------------------------
 
+    def residual_rows(self, held_out: DataFrame, models: Mapping[str, str], n_windows: int) -> DataFrame:
+        """Point forecasts of rolling windows inside the training part, with their dates."""
+        where: dict[str, Column] = {}
+        for kind, model in models.items():
+            where[model] = where.get(model, F.lit(False)) | (F.col("demand_type") == kind)
+        cv = EV.cv_forecasts(held_out.drop("actual"), where, self.h, n_windows, self.h, keep=("unique_id", "demand_type", "naive_mae"))
+        ds = F.date_add("last_ds", F.col("step") * 7).alias("ds")
+        return pin(cv.select("unique_id", "demand_type", ds, "y", "y_pred", "naive_mae"))  # ranks over the residuals read them several times
+
+    def point_rows(self, held_out: DataFrame, models: Mapping[str, str]) -> DataFrame:
+        return EV.test_rows(FC.route(held_out, models, self.h, "_fc"), {"y_pred": "_fc"}, ["unique_id", "demand_type", "naive_mae"])
+
     def quantile_rows(self, models: Mapping[str, str] = PER_SERIES_MODELS, n_windows: int = EV.N_WINDOWS) -> DataFrame:
         """Test weeks with point forecast, quantiles and safety stock; residuals come from rolling
         windows inside the training part."""
         # the packed series feed both the residual windows and the point forecast
         held_out = pin(self.held_out)
-        train = held_out.drop("actual")
-        where: dict[str, Column] = {}
-        for kind, model in models.items():
-            where[model] = where.get(model, F.lit(False)) | (F.col("demand_type") == kind)
-        cv = EV.cv_forecasts(train, where, self.h, n_windows, self.h, keep=("unique_id", "demand_type", "naive_mae"))
-        cv = pin(cv.select("demand_type", "y", "y_pred", "naive_mae"))  # ranks over the residuals read them several times
-        residuals = INV.residual_quantiles(cv)
-        point = EV.test_rows(FC.route(held_out, models, self.h, "_fc"), {"y_pred": "_fc"},
-                             ["unique_id", "demand_type", "naive_mae"])
-        return INV.safety_stock(INV.quantile_forecast(point, residuals))
+        residuals = INV.residual_quantiles(self.residual_rows(held_out, models, n_windows))
+        return INV.safety_stock(INV.quantile_forecast(self.point_rows(held_out, models), residuals))
+
+    def quantile_features(self, rows: DataFrame) -> DataFrame:
+        """Feature columns of forecast rows (``unique_id, ds, demand_type, y_pred, naive_mae``): lags and rolling means in units of the
+        series' naive error, season, holidays, weather. A lag before the series' start counts as the forecast; what is not known of
+        a week counts as 0 and is flagged."""
+        lags = L.lag_columns(L.LAG_PRESETS["medium"], "rolling_mean_4")
+        known = self.panel.select("unique_id", "ds", F.col("y").cast("double").alias("y")).withColumns(lags).drop("y")
+        out = FE.assemble(rows.withColumn("_type", F.col("demand_type")).join(known, ["unique_id", "ds"], "left"),
+                          self.static.select("unique_id", "region_id"), self.holidays, self.weather)
+        unit = F.col("naive_mae")
+        exogenous = [*FE.HOLIDAY_COLUMNS, *FE.WEATHER_COLUMNS]
+        return out.withColumns({
+            "x_point": F.col("y_pred") / unit,
+            **{f"x_{c}": F.coalesce(c, "y_pred") / unit for c in lags},
+            **{f"x_{k}": (F.col("_type") == k).cast("double") for k in FC.CANDIDATES},
+            **{f"x_{n}": c for n, c in QR.harmonics("ds").items()},
+            **{f"x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in exogenous},
+            "x_unknown": F.col(FE.WEATHER_COLUMNS[0]).isNull().cast("double"),
+        }).withColumnRenamed("_type", "demand_type")
+
+    def quantile_regression(self, models: Mapping[str, str] = PER_SERIES_MODELS, n_windows: int = YEAR_WINDOWS,
+                            probs: Mapping[str, float] = INV.QUANTILES) -> tuple[QR.QuantileFit, DataFrame]:
+        """Quantiles that depend on the features of series and week: the fit and the test weeks with them.
+
+        The windows span a year, as season, holidays and weather have as many values as there are weeks. The target is the value in units of the series' naive error. The fit starts from the rule of ``quantile_rows`` (point forecast
+        plus the type's residual quantile), of which it is a generalisation. Quantiles are at least 0, as sales are. A series without a naive
+        error does not vary, so its quantiles are the point forecast.
+        """
+        held_out = pin(self.held_out)
+        cv = self.residual_rows(held_out, models, n_windows)
+        residuals = INV.residual_quantiles(cv, probs).collect()  # one row per demand type
+        start = {q: {"x_point": 1.0, **{f"x_{r['demand_type']}": r[f"r_{q}"] for r in residuals}} for q in probs}
+        train = self.quantile_features(cv)
+        names = [c for c in train.columns if c.startswith("x_")]
+        fitted = QR.fit(train, {c: F.col(c) for c in names}, F.col("y") / F.col("naive_mae"), probs, start)
+        rows = self.quantile_features(self.point_rows(held_out, models))
+        flat = F.col("naive_mae").isNull()
+        quantiles = {q: F.when(flat, F.col("y_pred")).otherwise(F.greatest(c, F.lit(0.0))) for q, c in fitted.ordered(F.col("naive_mae")).items()}
+        out = rows.withColumns(quantiles).select("unique_id", "demand_type", "ds", "y", "y_pred", *probs)
+        return fitted, INV.safety_stock(out)

@@ -390,6 +390,30 @@ def quantile_metrics(i: Inputs):
     return INV.quantile_metrics(i.model.quantile_rows())
 
 
+@AREA.query("fc_quantile_regression", sql(f"""
+    SELECT unique_id, demand_type, ds, y, {r('y_pred')} AS y_pred, y_pred IS NOT NULL AS has_quantiles,
+           CASE WHEN y_pred IS NOT NULL THEN true END AS is_ordered FROM bt"""))
+def fc_quantile_regression(i: Inputs):
+    """Quantiles from a regression on features: every test week with a point forecast has them, in order. Their values are beyond SQL."""
+    _, rows = i.model.quantile_regression()
+    there = F.col("q50").isNotNull() & F.col("q80").isNotNull() & F.col("q95").isNotNull() & (F.abs("q95") < 1e12)
+    return rows.select("unique_id", "demand_type", "ds", "y", "y_pred", there.alias("has_quantiles"),
+                       ((F.col("q50") <= F.col("q80")) & (F.col("q80") <= F.col("q95"))).alias("is_ordered"))
+
+
+@AREA.query("quantile_regression_gain", " UNION ALL ".join(
+    f"SELECT '{q}' AS quantile, CAST({a} AS DOUBLE) AS alpha, true AS loss_falls, true AS loss_not_above_rule, true AS coverage_not_worse" for q, a in INV.QUANTILES.items()))
+def quantile_regression_gain(i: Inputs):
+    """Does the regression pay? The loss on the fitted rows falls, on the test weeks it is at most that of one residual quantile per type,
+    and the share of test weeks that a quantile covers is no farther from its aim (to 0.02)."""
+    fitted, rows = i.model.quantile_regression()
+    falls = F.create_map(*[F.lit(v) for q in INV.QUANTILES for v in (q, fitted.loss_after[q] <= fitted.loss_before[q])])
+    rule = INV.quantile_metrics(i.model.quantile_rows()).select("quantile", F.col("pinball").alias("rule"), F.col("coverage").alias("rule_coverage"))
+    return INV.quantile_metrics(rows).join(rule, "quantile").select(
+        "quantile", "alpha", falls[F.col("quantile")].alias("loss_falls"), (F.col("pinball") <= F.col("rule")).alias("loss_not_above_rule"),
+        (F.abs(F.col("coverage") - F.col("alpha")) <= F.abs(F.col("rule_coverage") - F.col("alpha")) + 0.02).alias("coverage_not_worse"))
+
+
 COVERAGE = "SELECT unique_id, avg(CASE WHEN y <= q95 + 1e-9 THEN 1.0 ELSE 0.0 END) AS c FROM qf WHERE q95 IS NOT NULL GROUP BY 1"
 
 
