@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,7 +13,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekloom.functions.ranks import global_row_number
-from weekloom.operators import evaluation as EV, lags as L, panel as P
+from weekloom.operators import lags as L, panel as P
 from weekloom.session import pin
 
 
@@ -121,6 +121,7 @@ def predict(fitted: TreeFit, history: DataFrame, future_exogenous: DataFrame, h:
 
 
 N_TRIALS = 50
+SEARCHED_TRANSFORMS = ["none", "rolling_mean_4", "rolling_mean_13"]
 
 
 def search_space(n_trials: int = N_TRIALS, seed: int = 42, max_iter: tuple[int, int] = (100, 1000)) -> list[TreeParams]:
@@ -129,7 +130,7 @@ def search_space(n_trials: int = N_TRIALS, seed: int = 42, max_iter: tuple[int,
     return [
         TreeParams(
             lag_preset=rng.choice(sorted(L.LAG_PRESETS)),
-            lag_transform=rng.choice(["none", "rolling_mean_4", "rolling_mean_13"]),
+            lag_transform=rng.choice(SEARCHED_TRANSFORMS),
             target_transform=rng.choice(L.TARGET_TRANSFORMS),
             step_size=round(10 ** rng.uniform(-2, -1), 4),
             max_iter=rng.randint(*max_iter),
@@ -158,45 +159,6 @@ def window_parts(placed: DataFrame, w: int, h: int, step: int) -> tuple[DataFram
     return train.drop("_back", "_rows"), test.drop("_back", "_rows")
 
 
-def cv_loss(placed: DataFrame, params: TreeParams, exogenous: Sequence[str], h: int, n_windows: int,
-            step: int = 1) -> DataFrame:
-    """One-row mean MASE over overlapping rolling-origin windows, one model per window.
-
-    Takes rows ``with_places``. MASE is scaled by the whole series. A series with a test week that has no
-    forecast has no MASE, as in every other evaluation.
-    """
-    parts = []
-    for w in range(n_windows):
-        train, test = window_parts(placed, w, h, step)
-        fitted = fit(train, params, exogenous)
-        pred = predict(fitted, train, test.select("unique_id", "ds", *exogenous), h)
-        parts.append(EV.by_date(test.select("unique_id", "ds", "y"), pred))
-    united = functools.reduce(DataFrame.unionByName, parts)
-    per = EV.series_metrics(united, EV.naive_scale(placed))
-    return per.agg(F.avg("mase").alias("mase"), F.count("mase").alias("n_series"))
-
-
-def search(dataset: DataFrame, trials: Sequence[TreeParams], exogenous: Sequence[str], h: int,
-           n_windows: int = EV.N_WINDOWS) -> DataFrame:
-    """Loss of every trial, ``trial, params..., mase, n_series``; the best has the smallest ``mase``.
-
-    The assembled dataset is written once; windows are filters on the written rows.
-    """
-    placed = pin(with_places(dataset))
-    out = None
-    for i, params in enumerate(trials):
-        row = cv_loss(placed, params, exogenous, h, n_windows).select(
-            F.lit(i).alias("trial"), *[F.lit(v).alias(k) for k, v in asdict(params).items()], "mase", "n_series")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-def best_params(results: DataFrame) -> TreeParams:
-    """Parameters of the trial with the smallest loss (one small row is fetched)."""
-    row = results.orderBy(F.col("mase").asc_nulls_last(), "trial").first()
-    return TreeParams(**{f: row[f] for f in TreeParams.__dataclass_fields__})
-
-
 def gain_importance(fitted: TreeFit, spark) -> DataFrame:
     """Split-gain importance per feature, largest first (one row per feature)."""
     pairs = list(zip(fitted.features, [float(v) for v in fitted.model.featureImportances.toArray()]))

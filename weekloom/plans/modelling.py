@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekloom.operators import dimensions as DIM, evaluation as EV, features as FE, forecasters as FC, panel as P
-from weekloom.operators import inventory as INV, lags as L, quantile_regression as QR, trees as TR
+from weekloom.operators import inventory as INV, lags as L, quantile_regression as QR, tree_search as TS, trees as TR
 from weekloom.plans import preparation as PREP
 from weekloom.sources import holidays as H, sinks as K
 from weekloom.session import pin
@@ -31,6 +31,16 @@ PER_SERIES_MODELS = {
 TREE_FEATURES = [*FE.STATIC_COLUMNS, *FE.HOLIDAY_COLUMNS, *FE.WEATHER_COLUMNS]
 
 
+# one setting for all tree types, or one for each
+TreeChoice = TR.TreeParams | Mapping[str, TR.TreeParams] | None
+
+
+def params_of(choice: TreeChoice, kind: str) -> TR.TreeParams:
+    if isinstance(choice, Mapping):
+        choice = choice.get(kind)
+    return choice or TR.TreeParams()
+
+
 def model_for(demand_type: str, chosen: Mapping[str, str] | None = None) -> str:
     """Method of a demand type: the chosen one, else trees for the tree types, else the default."""
     if chosen and demand_type in chosen:
@@ -118,7 +128,7 @@ class Modelling:
         return EV.packed_naive_scale(EV.hold_out(self.packed, self.cutoff))
 
     def backtest(self, models: Mapping[str, str] = PER_SERIES_MODELS, run_date: Column | None = None,
-                 tree_params: TR.TreeParams | None = None) -> DataFrame:
+                 tree_params: TreeChoice = None) -> DataFrame:
         """Test weeks with the model's and the baseline's forecast: per-series methods aligned by position,
         the tree model by date."""
         run_date = F.current_date() if run_date is None else run_date
@@ -129,7 +139,7 @@ class Modelling:
         for kind in (k for k, m in models.items() if m == TREE_MODEL):
             # the baseline's test weeks, their forecast column replaced by the trees'
             base = self._per_series_backtest({kind: FC.BASELINES[kind]}, run_date).drop("y_pred")
-            pred = self.tree_hold_out(kind, tree_params or TR.TreeParams())
+            pred = self.tree_hold_out(kind, params_of(tree_params, kind))
             rows = base.join(pred, ["unique_id", "ds"], "left").withColumn("model", F.lit(TREE_MODEL))
             parts.append(rows.select("unique_id", "ds", "y", "y_pred", *base.columns[3:]))
         return functools.reduce(DataFrame.unionByName, parts)
@@ -172,7 +182,7 @@ class Modelling:
         return EV.select_models(scores, kinds)
 
     def final_forecast(self, models: Mapping[str, str], run_date: Column | None = None,
-                       tree_params: TR.TreeParams | None = None) -> DataFrame:
+                       tree_params: TreeChoice = None) -> DataFrame:
         """Refit on the full history with known methods and forecast ``h`` weeks per series."""
         run_date = F.current_date() if run_date is None else run_date
         chosen = {k: model_for(k, models) for k in models}
@@ -182,7 +192,7 @@ class Modelling:
             routed = FC.route(self.packed, per_series, self.h, "_fc")
             parts.append(FC.unpack(routed, "_fc", ["unique_id", "demand_type", "model"]))
         for kind in (k for k, m in chosen.items() if m == TREE_MODEL):
-            pred = self.tree_forecast(kind, tree_params or TR.TreeParams())
+            pred = self.tree_forecast(kind, params_of(tree_params, kind))
             parts.append(pred.withColumns({"demand_type": F.lit(kind), "model": F.lit(TREE_MODEL)}))
         out = functools.reduce(DataFrame.unionByName, [p.select("unique_id", "ds", "y_pred", "demand_type", "model") for p in parts])
         ref = self.span.select("ds_max").scalar()
@@ -205,32 +215,35 @@ class Modelling:
             EV.improvement_expr().alias("delta_wape_pct"))
         return sides.join(
             F.broadcast(chosen.withColumnRenamed("model", "model_col")), "demand_type", "left").select(
-            "demand_type", F.lit("PerSeries").alias("class"),
+            "demand_type", F.when(F.col("model_col") == TREE_MODEL, "GlobalTrees").otherwise("PerSeries").alias("class"),
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("saved_at"),
             F.lit(freq).alias("freq"), F.lit(self.h).alias("horizon"), F.lit(n_windows).alias("n_windows"),
             "baseline_metrics", "model_metrics", F.round("delta_wape_pct", 2).alias("delta_wape_pct"),
             "model_col", "cv_wape", "best_params")
 
-    def train(self, path: str, tree_types: Sequence[str] = tuple(TREE_TYPES), tree_params: TR.TreeParams | None = None,
-              trials: Sequence[TR.TreeParams] = (), candidates: Mapping[str, Sequence[str]] = FC.CANDIDATES,
+    def train(self, path: str, tree_types: Sequence[str] = tuple(TREE_TYPES), tree_params: TreeChoice = None,
+              trials: Sequence[TR.TreeParams] | None = None, candidates: Mapping[str, Sequence[str]] = FC.CANDIDATES,
               n_windows: int = EV.N_WINDOWS, run_date: Column | None = None) -> DataFrame:
         """A training run: choose a model per demand type, backtest it against the baseline, write the metadata
         to ``path`` and return the backtest.
 
-        Per-series types take the winner of cross-validation over ``candidates``. The tree types take
-        ``tree_params``, or the best of ``trials`` where some are given.
+        Per-series types take the winner of cross-validation over ``candidates``. Each tree type takes its ``tree_params`` where given, else the
+        best of ``trials`` (by default the whole search space) on its training part.
         """
         kinds = [k for k in candidates if k not in tree_types]
         winners = self.choose({k: candidates[k] for k in kinds}, n_windows).collect()  # one row per demand type
         rows = [(r["demand_type"], r["model"], r["cv_wape"], None) for r in winners]
-        params = tree_params or TR.TreeParams()
+        chosen_params: dict[str, TR.TreeParams] = {}
         for kind in tree_types:
-            if trials:
+            if tree_params is None:
                 train = self.of_type(kind).where(F.col("ds") <= self.cutoff)
-                params = TR.best_params(TR.search(train, trials, TREE_FEATURES, self.h, n_windows))
-            rows.append((kind, TREE_MODEL, None, json.dumps(asdict(params))))
+                found = TS.search(train, TR.search_space() if trials is None else trials, TREE_FEATURES, self.h, n_windows)
+                chosen_params[kind] = TS.best_params(found)
+            else:
+                chosen_params[kind] = params_of(tree_params, kind)
+            rows.append((kind, TREE_MODEL, None, json.dumps(asdict(chosen_params[kind]))))
         chosen = self.tables.spark.createDataFrame(rows, "demand_type string, model string, cv_wape double, best_params string")
-        backtest = pin(self.backtest({k: m for k, m, *_ in rows}, run_date, params))
+        backtest = pin(self.backtest({k: m for k, m, *_ in rows}, run_date, chosen_params))
         K.write_metadata(self.metadata(backtest, chosen, n_windows=n_windows), path)
         return backtest
 
@@ -242,7 +255,7 @@ class Modelling:
         runs = K.read_metadata(self.tables.spark, path).select("demand_type", "model_col", "best_params").collect()
         if not runs:
             raise FileNotFoundError(f"no run metadata at {path}; train first")
-        params = next((TR.params_from(json.loads(r["best_params"])) for r in runs if r["best_params"]), None)
+        params = {r["demand_type"]: TR.params_from(json.loads(r["best_params"])) for r in runs if r["best_params"]}
         return self.final_forecast({r["demand_type"]: r["model_col"] for r in runs}, run_date, params)
 
     # -- quantiles -------------------------------------------------------------

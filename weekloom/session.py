@@ -13,7 +13,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def build_session(app: str = "weekloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every operator assumes.
 
-    Only semantics (UTC, AQE) are fixed here; memory, cores and the number of shuffle
+    Only semantics (UTC, AQE) and fair sharing between concurrent jobs are fixed here; memory, cores and the number of shuffle
     partitions belong to the cluster and are passed through ``conf``.
     """
     builder = (
@@ -21,6 +21,7 @@ def build_session(app: str = "weekloom", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
     )
     if master:
         builder = builder.master(master)

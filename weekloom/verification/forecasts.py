@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekloom.operators import evaluation as EV, forecasters as FC, inventory as INV, panel as P, trees as TR
+from weekloom.operators import evaluation as EV, forecasters as FC, inventory as INV, panel as P, tree_search as TS, trees as TR
 from weekloom.plans.modelling import PER_SERIES_MODELS, TREE_FEATURES
 from weekloom.session import pin
 from weekloom.sources import sinks as K
@@ -463,11 +463,19 @@ def fc_gbt(i: Inputs):
     return rows.select("unique_id", "step", "ds", good.alias("has_forecast"))
 
 
-@AREA.query("gbt_search")
+@AREA.query("gbt_search", f"""
+    SELECT CAST(k AS INTEGER) AS rung, CAST(n AS BIGINT) AS n_trials, CAST(w AS INTEGER) AS n_windows, true AS all_scored, true AS trees_in_bounds, true AS best_go_on
+    FROM (VALUES {", ".join(str((k, rung.trials, rung.windows)) for k, rung in enumerate(TS.ladder(TR.N_TRIALS, EV.N_WINDOWS)))}) AS t(k, n, w)""")
 def gbt_search(i: Inputs):
-    """Seeded trials scored on all six windows; fewer and smaller ones than the library's defaults, which take hours."""
-    trials = TR.search_space(2, max_iter=(5, 10))
-    return TR.search(i.model.of_type("smooth"), trials, TREE_FEATURES, H)
+    """The whole search, 50 trials: every rung has its trials and windows, all have a loss, and those that go on are the best of their rung."""
+    found = pin(TS.search(i.model.of_type("smooth"), TR.search_space(), TREE_FEATURES, H))
+    later = found.select("trial", (F.col("rung") - 1).alias("rung"), F.lit(True).alias("_on"))
+    rows = found.join(later, ["trial", "rung"], "left").withColumn("_on", F.coalesce("_on", F.lit(False)))
+    worst_on, best_off = F.max(F.when(F.col("_on"), F.col("mase"))), F.min(F.when(~F.col("_on"), F.col("mase")))
+    return rows.groupBy("rung").agg(
+        F.count(F.lit(1)).alias("n_trials"), F.max("n_windows").alias("n_windows"), F.bool_and(F.col("mase").isNotNull()).alias("all_scored"),
+        F.bool_and(F.col("trees").between(1, F.col("max_iter"))).alias("trees_in_bounds"),
+        F.coalesce(worst_on <= best_off, F.lit(True)).alias("best_go_on"))
 
 
 @AREA.query("feature_importance", """
