@@ -8,7 +8,7 @@ from math import factorial
 from pyspark.sql import Column, Window, functions as F
 
 from weekloom.functions.text import fold_accents
-from weekloom.operators import demand as D, diagnostics as DG, dimensions as DIM, inventory as INV, panel as P
+from weekloom.operators import demand as D, diagnostics as DG, dimensions as DIM, elastic as EL, inventory as INV, panel as P
 from weekloom.operators import profile as PR
 from weekloom.plans import preparation as PREP
 from weekloom.session import pin
@@ -402,29 +402,85 @@ def normality_test(i: Inputs):
 
 # -- clustering -------------------------------------------------------------------------
 
+def dtw_sql(a: str, b: str) -> str:
+    """Elastic distance of two lists: a fold over the rows of the cost table, each a fold over its cells."""
+    cell = f"power(e[1] - {b}[CAST(j[1] AS INTEGER)], 2) + least(prev[CAST(j[1] AS INTEGER)], prev[CAST(j[1] AS INTEGER) + 1], acc[-1])"
+    far = "CAST('inf' AS DOUBLE)"
+    cells = f"list_transform(range(1, len({b}) + 1), lambda q: [CAST(q AS DOUBLE)])"
+    start = f"list_prepend(CAST(0 AS DOUBLE), list_transform({b}, lambda q: {far}))"
+    row = f"list_reduce(list_prepend([{far}], {cells}), lambda acc, j: list_append(acc, {cell}))"
+    return f"sqrt(list_reduce(list_prepend({start}, list_transform({a}, lambda q: [q])), lambda prev, e: {row})[-1])"
+
+
+def standardised_sql(table: str, key: str, date: str) -> str:
+    return f"""SELECT {key}, list(z ORDER BY {date}) AS zs FROM (
+        SELECT {key}, {date}, coalesce((y - avg(y) OVER w) / nullif(stddev_pop(y) OVER w, 0), 0) AS z FROM {table} WINDOW w AS (PARTITION BY {key})) GROUP BY 1"""
+
+
+CTES["rvec"] = standardised_sql("rgrid", "region_id", "month_date")
+CTES["rdist"] = f"SELECT a.region_id, b.region_id AS other, {dtw_sql('a.zs', 'b.zs')} AS d FROM rvec a, rvec b"
+# the three regions to which all are nearest, of all choices of three
+CTES["rmedoids"] = """
+    SELECT x, y, z FROM (SELECT a.region_id AS x, b.region_id AS y, c.region_id AS z FROM rvec a, rvec b, rvec c WHERE a.region_id < b.region_id AND b.region_id < c.region_id),
+        LATERAL (SELECT sum(least(p.d, q.d, s.d)) AS total FROM rdist p JOIN rdist q USING (region_id) JOIN rdist s USING (region_id) WHERE p.other = x AND q.other = y AND s.other = z)
+    ORDER BY round(total, 9), x, y, z LIMIT 1"""
+CTES["rlabels"] = """
+    SELECT region_id, CAST(arg_min(cluster, {'d': d, 'c': cluster}) AS INTEGER) AS cluster, min(d) AS d
+    FROM (SELECT region_id, d, CASE other WHEN x THEN 0 WHEN y THEN 1 ELSE 2 END AS cluster FROM rdist, rmedoids WHERE other IN (x, y, z)) GROUP BY 1"""
+
+
+def region_vectors(i: Inputs):
+    return pin(DG.standardised_vectors(regional_grid(i), "region_id"))
+
+
 def clustered(i: Inputs):
-    """Clusters of the regions; the few vectors are written once since k-means reads them repeatedly."""
-    return DG.cluster_series(pin(DG.standardised_vectors(regional_grid(i), "region_id")), "region_id", 3)
+    """Regions around three of them: ``region_id, cluster, distance``."""
+    _, labels = EL.medoids(region_vectors(i), "region_id", 3)
+    return labels.withColumn("region_id", F.col("key").cast("int")).drop("key")
 
 
-@AREA.query("region_clusters")
+@AREA.query("region_clusters", sql(f"SELECT region_id, cluster, {r('d')} AS distance FROM rlabels"))
 def region_clusters(i: Inputs):
-    return clustered(i).select("region_id", "cluster")
+    return clustered(i)
 
 
-@AREA.query("dtw_pairs")
+@AREA.query("dtw_pairs", sql(f"SELECT region_id, other, {r('d')} AS dtw FROM rdist, rmedoids WHERE other IN (x, y, z)"))
 def dtw_pairs(i: Inputs):
-    """Elastic distance of every region to every cluster centre."""
-    return DG.distances_to_clusters(clustered(i), "region_id")
+    """Elastic distance of every region to every medoid."""
+    vectors = region_vectors(i)
+    keys, _ = EL.medoids(vectors, "region_id", 3)
+    centres = vectors.where(F.col("region_id").cast("string").isin(keys)).agg(F.collect_list(F.struct(F.col("region_id").alias("other"), F.col("zs").alias("c")))).scalar()
+    return vectors.select("region_id", "zs", F.inline(centres)).select("region_id", "other", DG.elastic_distance(F.col("zs"), F.col("c")).alias("dtw"))
 
 
-@AREA.query("cluster_monthly")
+@AREA.query("cluster_monthly", sql("""
+    SELECT cluster, month_date, CAST(sum(y) AS BIGINT) AS y, count(DISTINCT region_id) AS n_regions FROM rgrid JOIN rlabels USING (region_id) GROUP BY 1, 2"""))
 def cluster_monthly(i: Inputs):
     labels = clustered(i).select("region_id", "cluster")
     return regional_grid(i).join(F.broadcast(labels), "region_id").groupBy("cluster", "month_date").agg(
         F.sum("y").alias("y"), F.count_distinct("region_id").alias("n_regions"))
 
 
+CTES["squarters"] = """
+    SELECT s.supplier_id, q.ds, coalesce(sum(f.units_sold), 0) AS y
+    FROM (SELECT DISTINCT supplier_id FROM wfact) s CROSS JOIN (SELECT DISTINCT quarter_date AS ds FROM
+             (SELECT CAST(date_trunc('quarter', CAST(unnest(generate_series(CAST(min(date_trunc('month', week_date)) AS TIMESTAMP), CAST(max(week_date) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE)) AS DATE) AS quarter_date FROM wfact)) q
+    LEFT JOIN wfact f ON f.supplier_id = s.supplier_id AND CAST(date_trunc('quarter', date_trunc('month', f.week_date)) AS DATE) = q.ds GROUP BY 1, 2"""
+CTES["svec"] = standardised_sql("squarters", "supplier_id", "ds")
+CTES["spairs"] = f"SELECT a.supplier_id, b.supplier_id AS other, {dtw_sql('a.zs', 'b.zs')} AS d FROM svec a JOIN svec b ON a.supplier_id < b.supplier_id"
+
+
+@AREA.query("series_neighbours", sql(f"""
+    SELECT CAST(supplier_id AS VARCHAR) AS supplier_id, CAST(other AS VARCHAR) AS neighbour, CAST(k AS INTEGER) AS rank, {r('d')} AS distance
+    FROM (SELECT *, row_number() OVER (PARTITION BY supplier_id ORDER BY d, CAST(other AS VARCHAR)) AS k
+          FROM (SELECT supplier_id, other, d FROM spairs UNION ALL SELECT other, supplier_id, d FROM spairs)) WHERE k <= 3"""))
+def series_neighbours(i: Inputs):
+    """The three suppliers whose quarterly sales have the most alike course, for every supplier."""
+    rows = quick_weekly(i, "supplier_id").groupBy("supplier_id", F.trunc("week_date", "month").alias("month_date")).agg(F.sum("units_sold").alias("y"))
+    quarters = PR.month_grid(rows, "supplier_id", "month_date", "y").groupBy("supplier_id", F.trunc("month_date", "quarter").alias("month_date")).agg(F.sum("y").alias("y"))
+    return EL.neighbours(pin(DG.standardised_vectors(quarters, "supplier_id")), "supplier_id", 3).withColumnRenamed("key", "supplier_id")
+
+
 # -- samples, sorts, sets, functions -------------------------------------------------------
 
 @AREA.query("sample_series", sql(f"""

@@ -198,14 +198,14 @@ CTES["scored"] = """
     SELECT demand_type, model, avg(mase) AS mase, avg(smape) AS smape, avg(wape) AS wape, count(*) AS n_series FROM per GROUP BY 1, 2"""
 
 
-@AREA.query("rank_aligned_eval", sql(f"SELECT unique_id, ds, CAST(y AS BIGINT) AS y, {r('y_baseline')} AS y_pred FROM bt WHERE demand_type IN ('intermittent', 'lumpy')"))
+@AREA.query("rank_aligned_eval", sql(f"SELECT unique_id, ds, CAST(y AS BIGINT) AS y, {r('y_baseline')} AS y_pred FROM bt"))
 def rank_aligned_eval(i: Inputs):
-    """Test rows joined to forecasts by their position in the series."""
-    panel = i.model.panel.where(F.col("demand_type").isin("intermittent", "lumpy")).select("unique_id", "ds", "y")
-    cutoff = i.model.cutoff
-    pred = FC.forecast(panel.where(F.col("ds") <= cutoff), "CrostonOptimized", H)
+    """Test rows of all types joined to their type's baseline forecast by the position in the series."""
+    panel, cutoff = i.model.panel, i.model.cutoff
+    train = FC.pack(panel.where(F.col("ds") <= cutoff), ("unique_id",), ("demand_type",))
+    pred = FC.unpack(FC.route(train, FC.BASELINES, H, "_fc"), "_fc", ["unique_id"])
     # series without training rows have no forecast and are left to the caller
-    return EV.by_position(panel.where(F.col("ds") > cutoff), pred)
+    return EV.by_position(panel.where(F.col("ds") > cutoff).select("unique_id", "ds", "y"), pred)
 
 
 @AREA.query("baseline_eval", sql(f"""
@@ -483,7 +483,7 @@ def gbt_search(i: Inputs):
 def feature_importance(i: Inputs):
     """What must hold of the importances of all features: one row each, gains add up to 1, every value finite."""
     rows = i.model.of_type("smooth")
-    fitted = TR.fit(rows, TR.TreeParams(max_iter=20), TREE_FEATURES)
+    fitted = TR.fit(rows, TR.TreeParams(), TREE_FEATURES)
     found = TR.feature_importance(fitted, rows, top=len(fitted.features))
     return found.agg(F.count(F.lit(1)).alias("n_features"), (F.abs(F.sum("gain") - 1) < 1e-6).alias("gains_sum_to_one"),
                      F.bool_and(~F.isnan("gain") & ~F.isnan("mse_rise")).alias("finite"))
