@@ -63,6 +63,24 @@ def test_a_heavy_turn_is_cut_and_nothing_is_lost(spark):
     assert sum(r["n_rows"] for r in got) == len(data)
 
 
+@pytest.mark.parametrize("turns", [range(60, 70), range(1, 71), range(200)])
+def test_a_dialogue_is_one_row_per_speaker_whatever_its_turn_numbers(spark, turns):
+    data = [(1, t, "ab"[t % 2], f"say {t}") for t in turns]
+    got = perspectives.rotated(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["speaker"], r["n_messages"], r["block"], r["turn"], r["slice"]) for r in got) == [(s, len(data), 0, None, 0) for s in "ab"]
+    assert [body for _, body in parse(got[0]["text"])] == [f"say {t}" for t in turns]
+
+
+def test_a_long_conversation_beside_short_ones(spark):
+    data = [(c, t, "ab"[t % 2], f"say {t}") for c, n in ((1, 300), (2, 60), (None, 30)) for t in range(n)]
+    got = perspectives.rotated(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"), limit=64).where("speaker = 'a'").collect()
+    parts = {}
+    for r in sorted(got, key=lambda r: r["block"]):
+        parts.setdefault(r["conv_id"], []).append(r)
+    assert [len(parts[c]) for c in (1, 2, None)] == [5, 1, 1]
+    assert [body for r in parts[1] for _, body in parse(r["text"])] == [f"say {t}" for t in range(300)]
+
+
 @pytest.mark.parametrize("kind", ["Python", "Arrow", "Cartesian", "NestedLoop"])
 def test_plan_is_native(spark, kind):
     frame = spark.createDataFrame([(1, 1, "a", "b")], "conv_id long, turn long, role string, text string")

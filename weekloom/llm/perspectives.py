@@ -4,9 +4,9 @@ For every participant of a conversation (every role but ``system``) the dialogue
 others as named users and system turns as such. The mask lists the stretches a model learns from: the assistant's contents with their
 end marks, as ``start:end`` in code points of the rendered text, end exclusive, joined by commas.
 
-A conversation is rendered in parts of ``BLOCK`` turn numbers, one row per part and participant; nearly all have one part. Where a
-part would hold more than ``LIMIT`` messages, each of its turns becomes parts of its own, cut by the message's hash, so no group that is
-gathered grows without bound. ``block, turn, slice`` order the parts of a conversation.
+A conversation is one row per participant. Only where it has more than ``LIMIT`` different messages is it cut, so that no group that is
+gathered grows without bound: into blocks of ``BLOCK`` turn numbers, and where a block still holds more, into its turns and slices of these by
+the message's hash. ``block, turn, slice`` order the parts of such a conversation; elsewhere they are 0, null and 0.
 
 Messages of one turn follow each other by hash, role and text. Repeated rows are one message; ``n_rows`` counts them. A null role
 is the participant ``unknown``, a null text is empty, null turns come last, rows with a null ``conv_id`` are one conversation. A
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 6
 BLOCK = 1 << BLOCK_BITS
 LIMIT = 256
+SHARES = 16
 SYSTEM = "system"
 END = "<|end|>"
 
@@ -32,8 +33,17 @@ def messages(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("times")).select(
-        "*", F.shiftright("turn", BLOCK_BITS).alias("block"), F.xxhash64("role", "text").alias("h"))
+    return rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("times")).select("*", F.xxhash64("role", "text").alias("h"))
+
+
+def in_blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """Add ``block``: the stretch of turns in conversations of more than ``limit`` messages, 0 in all others."""
+    long = rows.groupBy("conv_id").count().where(F.col("count") > limit).select(F.col("conv_id").alias("c"))
+    # dealt by conversation and share, as one of them may hold many of the rows
+    shares = long.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))).withColumn("long", F.lit(True))
+    dealt = rows.withColumn("own_share", F.pmod("h", F.lit(SHARES)).cast("int"))
+    joined = dealt.join(shares, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("own_share") == F.col("share")), "left")
+    return joined.withColumn("block", F.when(F.col("long"), F.shiftright("turn", BLOCK_BITS)).otherwise(F.lit(0).cast("long"))).drop("c", "share", "own_share", "long")
 
 
 def slices(rows: DataFrame, limit: int) -> DataFrame:
@@ -59,8 +69,8 @@ def name_of(role: Column) -> Column:
 
 
 def rotated(conversations: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """One row per part and participant: ``conv_id, speaker, block, turn, slice, n_messages, n_trained, n_rows, text, mask``."""
-    rows = messages(conversations)
+    """One row per conversation (or part of a long one) and participant: ``conv_id, speaker, block, turn, slice, n_messages, n_trained, n_rows, text, mask``."""
+    rows = in_blocks(messages(conversations), limit)
     speakers = rows.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("c"), F.col("role").alias("speaker")).distinct()
     seen = parts(rows, limit).join(speakers, F.col("conv_id").eqNullSafe(F.col("c")))
 

@@ -104,12 +104,12 @@ WITH said AS (
          replace(s.text, '<|', '< |') || '<|end|>' AS body
   FROM said s JOIN speakers p USING (conv_id)
 ), placed AS (
-  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, turn >> 6 ORDER BY turn) - 1 AS stop FROM turns
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker ORDER BY turn) - 1 AS stop FROM turns
 )
-SELECT conv_id, speaker, turn >> 6 AS block, NULL::BIGINT AS turn, 0::INTEGER AS slice, count(*) AS n_messages, count(*) FILTER (mine) AS n_trained,
+SELECT conv_id, speaker, 0::BIGINT AS block, NULL::BIGINT AS turn, 0::INTEGER AS slice, count(*) AS n_messages, count(*) FILTER (mine) AS n_trained,
        sum(times)::BIGINT AS n_rows, string_agg(head || body || chr(10), '' ORDER BY turn) AS text,
        coalesce(string_agg(CAST(stop - length(body) AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY turn) FILTER (mine), '') AS mask
-FROM placed p GROUP BY conv_id, speaker, p.turn >> 6
+FROM placed p GROUP BY conv_id, speaker
 """,
     "op9_quality_cascade": r"""
 WITH texts AS (
