@@ -33,7 +33,7 @@ from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import map_slices
@@ -64,8 +64,9 @@ CUED = (
 )
 GROUPS = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
 ACCOUNT = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}")
+HINT = re.compile(r"[0-9@]")
 # a group of capitals between numbers belongs to their region
-HINT = re.compile(r"[0-9@]|(?<=[0-9]\x20)[A-Z]{4}(?=\x20[A-Z]*[0-9])")
+CAPITALS = re.compile(r"(?<=[0-9])\x20[A-Z]{4}(?=\x20[A-Z]*[0-9])")
 TOKEN = re.compile(r"[A-Za-z0-9]+|\s|.", re.S)
 SPACE = re.compile(r"\s")
 NOT_DIGIT = re.compile(r"[^0-9]")
@@ -127,6 +128,8 @@ def regions(text: str) -> list[tuple[int, int]]:
             start -= 1
         space = SPACE.search(text, m.start())
         stop = space.start() if space else len(text)
+        group = CAPITALS.match(text, stop)
+        stop = group.end() if group else stop
         if out and out[-1][1] == end and start == end + 1 and text[end] == " ":
             out[-1] = (out[-1][0], stop)
         else:
@@ -334,6 +337,9 @@ def shape_of(text: str) -> str:
 
 def cued_spans(text: str) -> list[Span]:
     """Numbers with a cue word before them."""
+    small = text.lower()  # plain searches first: most texts have no cue
+    if not any(word in small for word in ("iban", "ssn", "account", "social security")):
+        return []
     return sorted((m.start(1), len(KINDS) + k, m.end(1)) for k, pattern in enumerate(CUED) for m in pattern.finditer(text))
 
 
@@ -369,21 +375,25 @@ def training_rows(docs: DataFrame) -> DataFrame:
     return found.withColumn("place", F.row_number().over(Window.partitionBy("kind").orderBy("h", "shape")))
 
 
-def picked_regions(rows: DataFrame, bound: int) -> list[str]:
-    plain = rows.where((F.col("place") <= bound) & F.col("begin").isNull())
-    picked = plain.orderBy(F.col("place") > bound // (len(KINDS) + 1), "h", "shape", "kind").limit(bound)
-    return list(dict.fromkeys(r["region"] for r in picked.collect()))
+def first_places(rows: DataFrame, bound: int) -> list[Row]:
+    """The rows of each kind's first ``bound`` places: all that training can take."""
+    return rows.where(F.col("place") <= bound).collect()
+
+
+def picked_regions(rows: list[Row], bound: int) -> list[str]:
+    plain = sorted((r["place"] > bound // (len(KINDS) + 1), r["h"], r["shape"], r["kind"], r["region"]) for r in rows if r["begin"] is None)
+    return list(dict.fromkeys(r[-1] for r in plain[:bound]))
 
 
 def training_regions(docs: DataFrame, bound: int = TRAIN_REGIONS) -> list[str]:
     """At most ``bound`` regions, one per shape and base kind (or none), those with the smallest hash of each kind; drawn from all documents."""
-    return picked_regions(training_rows(docs), bound)
+    return picked_regions(first_places(training_rows(docs), bound), bound)
 
 
-def cued_regions(rows: DataFrame, bound: int = OWN_REGIONS) -> list[tuple[str, Span]]:
+def cued_regions(rows: list[Row], bound: int = OWN_REGIONS) -> list[tuple[str, Span]]:
     """At most ``bound`` regions of each own kind, with the cued number in them."""
-    picked = rows.where((F.col("place") <= bound) & F.col("begin").isNotNull()).orderBy("kind", "place")
-    return [(r["region"], (r["begin"], r["kind"], r["stop"])) for r in picked.collect()]
+    picked = sorted((r["kind"], r["place"], r) for r in rows if r["begin"] is not None and r["place"] <= bound)
+    return [(r["region"], (r["begin"], r["kind"], r["stop"])) for *_, r in picked]
 
 
 def among_signs(cued: list[tuple[str, Span]]) -> list[tuple[str, Span]]:
@@ -413,7 +423,7 @@ def joined(spans: list[Span]) -> str:
 
 
 def fitted(docs: DataFrame, bound: int = TRAIN_REGIONS) -> SemiCrf:
-    rows = training_rows(docs)
+    rows = first_places(training_rows(docs), max(bound, OWN_REGIONS))
     cued = cued_regions(rows)
     # how a cued number looks: the same without a cue is neither example nor counterexample
     known = {(shape_of(region[a:b])) for region, (a, _, b) in cued}
