@@ -233,6 +233,9 @@ FORECASTERS: dict[str, Forecaster] = {
     "AR": ar_on_differences,
 }
 
+# methods of users, by name: the forecast array for a horizon (see ``plugins``)
+PLUGINS: dict[str, Callable[[int], Column]] = {}
+
 # fixed values: season length a method needs on top of the windows of cross-validation
 SEASON_OF = {"SeasonalNaive": SEASON, "SeasonalES": SEASON, "ETS": SEASON, "Theta": SEASON, "AR": 1}
 
@@ -258,12 +261,14 @@ def season_needed(model: str, demand_type: str | None = None) -> int:
 
 def forecaster(name: str) -> Forecaster:
     if name not in FORECASTERS:
-        raise KeyError(f"unknown forecaster {name!r}; known: {sorted(FORECASTERS)}")
+        raise KeyError(f"unknown forecaster {name!r}; known: {sorted([*FORECASTERS, *PLUGINS])}")
     return FORECASTERS[name]
 
 
 def predicted(model: str, h: int) -> Column:
     """Forecast array of one method over the packed columns ``ys`` and ``n``; NULL where there are no values."""
+    if model in PLUGINS:
+        return F.when(F.col("n") > 0, PLUGINS[model](h))
     return F.when(F.col("n") > 0, A.let_all(lambda ys, n: forecaster(model)(ys, n, h), ys=F.col("ys"), n=F.col("n")))
 
 

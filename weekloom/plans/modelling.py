@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekloom.operators import dimensions as DIM, evaluation as EV, features as FE, forecasters as FC, panel as P
-from weekloom.operators import inventory as INV, lags as L, quantile_regression as QR, tree_search as TS, trees as TR
+from weekloom.operators import inventory as INV, lags as L, plugins as PL, quantile_regression as QR, tree_search as TS, trees as TR
 from weekloom.plans import preparation as PREP
 from weekloom.sources import holidays as H, sinks as K
 from weekloom.session import pin
@@ -258,6 +258,16 @@ class Modelling:
         params = {r["demand_type"]: TR.params_from(json.loads(r["best_params"])) for r in runs if r["best_params"]}
         return self.final_forecast({r["demand_type"]: r["model_col"] for r in runs}, run_date, params)
 
+    # -- users' models -----------------------------------------------------------
+
+    def fit_custom(self, name: str, path: str, training_part: bool = False) -> str:
+        """Fit a registered model on every series (or its training part) and write the states to ``path``."""
+        return K.write_table(PL.fit_states(self.held_out if training_part else self.packed, name), path)
+
+    def predict_custom(self, name: str, path: str) -> DataFrame:
+        """``h`` weeks after every series from the states at ``path``, without refitting; NULL for series without one."""
+        return PL.predict_saved(self.packed, self.tables.spark.read.parquet(path), name, self.h)
+
     # -- quantiles -------------------------------------------------------------
 
     def residual_rows(self, held_out: DataFrame, models: Mapping[str, str], n_windows: int) -> DataFrame:

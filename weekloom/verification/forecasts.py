@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import functions as F
 
-from weekloom.operators import evaluation as EV, forecasters as FC, inventory as INV, panel as P, tree_search as TS, trees as TR
+from weekloom.operators import evaluation as EV, forecasters as FC, inventory as INV, panel as P, plugins as PL
+from weekloom.operators import tree_search as TS, trees as TR
 from weekloom.plans.modelling import PER_SERIES_MODELS, TREE_FEATURES
 from weekloom.session import pin
 from weekloom.sources import sinks as K
@@ -166,6 +169,28 @@ def fc_custom_udf(i: Inputs):
     return FC.apply_custom(i.model.panel, lambda ys, h: [sum(ys[-3:]) / len(ys[-3:])] * h, H)
 
 
+class MeanAndLast:
+    """A user's model: half the mean of what it was fitted on, half the last week known when asked."""
+
+    version = "1"
+
+    def fit(self, values):
+        return struct.pack("<d", sum(values) / len(values))
+
+    def predict(self, state, values, h):
+        return [(struct.unpack("<d", state)[0] + values[-1]) / 2] * h
+
+
+@AREA.query("custom_fit_predict", sql(f"""
+    SELECT p.unique_id, CAST(p.last_ds + 7 * step AS DATE) AS ds, {r('(list_avg(t.ys) + p.ys[p.n]) / 2')} AS y_pred, t.last_ds AS fitted_to
+    FROM packs p LEFT JOIN ho t USING (unique_id), (SELECT unnest([1, 2, 3, 4]) AS step)"""))
+def custom_fit_predict(i: Inputs):
+    """States of a user's model fitted on the training part, written, and asked with the whole history."""
+    PL.register("MeanAndLast", MeanAndLast())
+    path = i.model.fit_custom("MeanAndLast", scratch(i, "states"), training_part=True)
+    return i.model.predict_custom("MeanAndLast", path)
+
+
 # -- hold-out ---------------------------------------------------------------------
 
 def routed_sql(table: str, keys: str, models: dict[str, str], name: str) -> str:
