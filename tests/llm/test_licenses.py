@@ -97,3 +97,36 @@ def test_wrapped_notices():
     assert labels("Creative\nCommons Attribution 4.0") == "cc-by-4.0"
     assert labels("Permission is hereby\ngranted, free of charge, to any person obtaining a copy") == "mit"
     assert labels("Common  Development-and Distribution License 1.0") == "cddl-1.0"
+
+
+def test_indented_and_commented_notices():
+    def labels(text):
+        return licenses.describe(text)[5]
+
+    assert labels("GNU Lesser General\n        Public License, version 2.1") == "lgpl-2.1"
+    for lead in (" * ", "# ", "// ", "-- ", "   ;; ", "> ", "\t"):
+        assert labels(f"{lead}GNU Lesser General\n{lead}Public License, version 2.1") == "lgpl-2.1", lead
+        assert labels(f"{lead}Permission is hereby granted,\r\n{lead}free of charge, to any\n{lead}\n{lead}person obtaining a copy") == "mit", lead
+    assert labels("Neither the name of the copyright\nholder nor the names of its\n# contributors may be used") == "bsd-3-clause"
+
+
+def test_tag_expressions():
+    def labels(text):
+        return licenses.describe(text)[5]
+
+    assert labels("SPDX-License-Identifier: (MIT OR Apache-2.0)") == "apache-2.0,mit"
+    assert labels("# SPDX-License-Identifier: GPL-2.0-only OR MIT.") == "gpl-2.0,mit"
+    assert labels("SPDX-License-Identifier: LGPL-2.1+ AND (MIT OR BSD-3-Clause)") == "bsd-3-clause,lgpl-2.1,mit"
+    assert labels("SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception OR GPL-3.0-or-later") == "apache-2.0,gpl-3.0"
+    assert labels("SPDX-License-Identifier: MIT-0") == "" and labels("SPDX-License-Identifier: none, mit is meant") == ""
+
+
+def test_positions_are_those_of_the_given_text():
+    text = "see \n\n *   the gnu lesser general\n *  public   license,\n * version 2.1 \t and\n# spdx-license-identifier: mit"
+    spans = {rule.label: text[a:b] for a, b, _, rule in licenses.suppress(licenses.detections(text))}
+    assert spans == {"lgpl-2.1": "gnu lesser general\n *  public   license,\n * version 2.1", "mit": "mit"}
+
+
+def test_folding_takes_linear_time():
+    for text in ("\n" * 300_000, " " * 300_000, "\n * " * 100_000, "gnu " + " " * 300_000, "spdx-license-identifier: " + "mit or " * 30_000):
+        licenses.describe(text)

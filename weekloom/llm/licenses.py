@@ -2,7 +2,9 @@
 
 A few hundred regular expressions, written by hand as (license, wording) pairs, run over the lower-cased text. Each rule names a
 literal keyword its matches contain, any run of white space, ``-`` and ``_`` counting as one space; a text without the keyword never
-runs the rule. A detection is dropped when its interval lies
+runs the rule. Rules run on a copy whose line ends, with indentation and the comment signs that open the next line, and runs of blanks are one space,
+so a wrapped, indented or commented notice is found as on one line; positions are those of the given text. The words of a wording may stand any
+number of blanks apart. After an SPDX tag every license of the expression counts, with ``-only``, ``-or-later`` or ``+``. A detection is dropped when its interval lies
 inside that of a detection that ranks before it: lower priority number first, then the longer one, then the earlier rule. The
 container may itself be dropped: containment is transitive, so the outcome does not depend on the order of the checks.
 
@@ -13,6 +15,7 @@ Null and empty texts have no words and no labels; positions are null and the sco
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -104,6 +107,9 @@ NOTICES = (
 )
 PHRASE_WEIGHT = 0.6
 GAP = re.compile(r"[\s\-_]+")
+# a line end with the blanks around it and a comment sign, or a run of blanks that is not one space
+FOLD = re.compile(r"[^\S\n]*+(?:\n[^\S\n]*+(?:[*#;>%!|/]++|--)?[^\S\n]*+)++|[^\S\n]{2,}+|[^\S\n\x20]")
+SPDX = r"spdx-license-identifier:[\s(]*+(?:[a-z0-9.+\-]+[\s)]+(?:and|or|with)[\s(]+)*(?P<id>{}(?:-only|-or-later|\+)?)(?![a-z0-9\-+]|\.[a-z0-9])"
 
 
 @dataclass(frozen=True)
@@ -116,7 +122,7 @@ class Rule:
 
 
 def spaced(pattern: str) -> str:
-    return pattern.replace(" ", r"[\s\-_]{1,4}")
+    return pattern.replace(" ", r"[\s\-_]+")
 
 
 @lru_cache(maxsize=1)
@@ -130,12 +136,12 @@ def signature_rules() -> tuple[Rule, ...]:
         for version in versions.split():
             short = re.escape(version.removesuffix(".0")) + (r"(?:\.0)?" if version.endswith(".0") else "")
             tail = rf",?\s+(?:\(?(?:version|v\.?)\s*)?{short}(?!\.?\d)"
-            rules.append(Rule(f"{label}-{version}", ("spdx",), rf"spdx-license-identifier:\s*{re.escape(label)}-{re.escape(version)}\b", 1, 1.0))
+            rules.append(Rule(f"{label}-{version}", ("spdx",), SPDX.format(re.escape(f"{label}-{version}")), 1, 1.0))
             notice, priority, weight = NOTICES[0]
             rules.append(Rule(f"{label}-{version}", keywords, rf"\b{spaced(notice.format(name))}{tail}", priority - 1, weight))
             rules.append(Rule(f"{label}-{version}", keywords, rf"\b{spaced(name)}{tail}", 4, 0.9))
         if not versions:
-            rules.append(Rule(label, ("spdx",), rf"spdx-license-identifier:\s*{re.escape(label)}\b", 1, 1.0))
+            rules.append(Rule(label, ("spdx",), SPDX.format(re.escape(label)), 1, 1.0))
         rules += [Rule(label, keywords, rf"\b{spaced(w.format(name))}\b", p, weight) for w, p, weight in NOTICES]
     return tuple(rules)
 
@@ -179,14 +185,33 @@ def gate(text: str) -> Callable[[tuple[str, ...]], bool]:
     return passes
 
 
+def folded(text: str) -> tuple[str, list[int], list[int]]:
+    """The copy that rules run on; from each of the copy's places in the first list, the given text is ahead by the second."""
+    pieces, places, ahead = [], [0], [0]
+    at = size = 0
+    for m in FOLD.finditer(text):
+        pieces += [text[at:m.start()], " "]
+        size += m.start() - at + 1
+        at = m.end()
+        places.append(size)
+        ahead.append(at - size)
+    return "".join(pieces) + text[at:], places, ahead
+
+
 def detections(text: str) -> list[tuple[int, int, int, Rule]]:
     """(start, end, rule's place, rule) of every match in a lower-cased text, before suppression."""
     found = []
-    passes = gate(text)
+    copy, places, ahead = folded(text)
+    passes = gate(copy)
+
+    def given(place: int) -> int:
+        return place + ahead[bisect_right(places, place) - 1]
+
     for keywords, rules in compiled():
         if passes(keywords):
             for i, rule, pattern in rules:
-                found += [(m.start(), m.end(), i, rule) for m in pattern.finditer(text)]
+                group = "id" if "id" in pattern.groupindex else 0
+                found += [(given(m.start(group)), given(m.end(group) - 1) + 1, i, rule) for m in pattern.finditer(copy)]
     return found
 
 
