@@ -36,6 +36,25 @@ def ingest_bronze(i: Inputs):
     return B.to_bronze(B.read_raw_csv(i.spark, path))
 
 
+@AREA.query("ingest_rejects", sql("""
+    SELECT CASE supplier_id % 10 WHEN 3 THEN 'unreadable units_sold' WHEN 5 THEN 'unreadable week_date'
+             WHEN 7 THEN 'missing product_id' WHEN 9 THEN 'columns' ELSE 'accepted' END AS reason,
+           count(*) AS n_rows, CAST(sum(CASE WHEN supplier_id % 10 NOT IN (3, 5, 7, 9) THEN units END) AS BIGINT) AS units_sold
+    FROM sales GROUP BY 1"""))
+def ingest_rejects(i: Inputs):
+    """All sales rows as CSV text, those of some suppliers spoilt in four ways; every spoilt line is told apart by its reason."""
+    path = scratch(i, "spoilt_sales")
+    rows = i.warehouse.bronze.withColumn("week_date", F.date_format("week_date", "yyyy-MM-dd"))
+    kind, names = F.col("supplier_id") % 10, rows.columns
+    spoilt = rows.select(
+        F.when(kind == 5, F.lit("2024-13-45")).otherwise(F.col("week_date")).alias("week_date"), "supplier_id",
+        F.when(kind != 7, F.col("product_id")).alias("product_id"), "region",
+        F.when(kind == 3, F.concat("units_sold", F.lit("x"))).otherwise(F.col("units_sold").cast("string")).alias("units_sold"), *names[5:])
+    whole, cut = F.to_csv(F.struct(*names)), F.to_csv(F.struct(*names[:3]))
+    spoilt.select(F.when(kind == 9, cut).otherwise(whole)).write.text(path)
+    return B.ingest_counts(B.read_checked_csv(i.spark, path, header=False))
+
+
 @AREA.query("roundtrip_layers", sql("""
     SELECT w.week_date, week, year, month, start_date, end_date, CAST(sum(units_sold) AS BIGINT) AS units_sold,
            count(*) AS n_rows
