@@ -62,3 +62,29 @@ def test_nulls_repeats_and_no_rows(spark):
     assert got == [(0, 0, True), (1, 30, True), (1, 30, True)]
     empty = frame.limit(0)
     assert q.QualityCascade().fit(empty).judge(empty).count() == 0 and q.QualityCascade().keep(empty).count() == 0
+
+
+def test_base_rule_takes_its_place_by_rejections_per_cost(spark):
+    slow = q.Rule("slow", lambda t: sum(range(50_000)) >= 0 and t.text.startswith("a"))
+    frame = spark.createDataFrame([(i, "a b" if i % 2 else "word " * 30) for i in range(200)], "doc_id long, text string")
+    fitted = q.QualityCascade((slow,)).fit(frame)
+    assert fitted.turns == [0, 1]  # both reject the same texts, the base rule for less
+    long = spark.createDataFrame([(i, " ".join(f"a{k % 90}" for k in range(3000))) for i in range(50)], "doc_id long, text string")
+    cheap = q.Rule("cheap", lambda t: t.text.startswith("a"))
+    fitted = q.QualityCascade((cheap,)).fit(long)
+    assert fitted.turns == [1, 0] and fitted.keep(long).count() == 0
+
+
+def test_rules_are_judged_on_what_the_ones_before_leave():
+    found = q.Measures(masks={0b011: 50, 0b100: 10, 0: 40}, own={0: 100, 1: 110, 2: 200}, figures={"words": 500}, needs={1: {"words"}})
+    # rule 1 rejects 50 texts too, but none that rule 0 leaves
+    assert found.order([0, 1, 2]) == [0, 2, 1]
+    shared = q.Measures(masks={0b01: 30, 0b10: 30, 0b100: 20}, own={0: 10, 1: 10, 2: 300}, figures={"words": 500}, needs={0: {"words"}, 1: {"words"}})
+    assert shared.order([0, 1, 2]) == [2, 0, 1]  # the first rule to need the words pays for them
+
+
+def test_shared_figures_are_timed_by_themselves():
+    t = q.Timed("word " * 5000)
+    assert t.n_words == 5000 and t.n_repeat_words == 5000
+    assert set(t.spent) == {"words", "n_repeat_words"} and t.asked == {"words", "n_repeat_words"}
+    assert all(v > 0 for v in t.spent.values()) and t.inner >= sum(t.spent.values())

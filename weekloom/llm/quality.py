@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule sees a whole text. On a sample of bounded size each rule's cost (time per text) and selectivity (share of texts it
-rejects) are measured; rules then run in order of rejections per cost and stop at the first one that rejects. The verdict is a
-conjunction, so the order changes the cost only, never the result.
+Every rule sees a whole text. A sample of bounded size shows which rules reject a text and what the rules and the figures they
+share cost. The order is built step by step: next comes the rule with the most rejections per cost among the texts that the rules
+before it leave, figures already at hand being free. Rules run in that order and stop at the first one that rejects. The verdict is
+a conjunction, so the order changes the cost only, never the result.
 
 Null and empty texts have no words: all counts are 0, the base rule (fewer than 20 words) rejects them. Repeated rows are judged
 one by one and give equal rows. An empty table gives an empty result; the order is then the order of declaration. Only ``doc_id``
@@ -68,7 +69,7 @@ class Text:
 
     @property
     def n_dup_lines(self) -> int:
-        return len(self.lines) - len(set(self.lines))
+        return self.once("n_dup_lines", lambda: len(self.lines) - len(set(self.lines)))
 
     @property
     def n_letters(self) -> int:
@@ -83,6 +84,26 @@ class Text:
         return self.once("n_repeat_words", lambda: repeated_words(self.words))
 
 
+@dataclass
+class Timed(Text):
+    """A text that notes what each shared figure took by itself and which figures were asked for."""
+
+    spent: dict[str, int] = field(default_factory=dict)
+    asked: set[str] = field(default_factory=set)
+    inner: int = 0  # time of figures made within the current one
+
+    def once(self, name: str, make: Callable[[], object]):
+        self.asked.add(name)
+        if name not in self.known:
+            outer, self.inner = self.inner, 0
+            start = time.perf_counter_ns()
+            self.known[name] = make()
+            took = time.perf_counter_ns() - start
+            self.spent[name] = took - self.inner
+            self.inner = outer + took
+        return self.known[name]
+
+
 _MIX = np.random.default_rng(20240229).integers(1, 2**63, size=WINDOW, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -139,48 +160,90 @@ def base_failed(t: Text) -> bool:
 BASE = (Rule("base", base_failed),)
 
 
+@dataclass(frozen=True)
+class Measures:
+    """What the sample showed, in sums over its texts.
+
+    ``masks``: texts by the set of rules (as bits) that reject them; ``own``: time of each rule without shared figures;
+    ``figures``: time of each shared figure; ``needs``: the figures a rule asks for.
+    """
+
+    masks: dict[int, int]
+    own: dict[int, int]
+    figures: dict[str, int]
+    needs: dict[int, set[str]]
+
+    def order(self, rules: list[int]) -> list[int]:
+        """The rules by rejections per cost, each given those before it; rules that reject nothing more come last, cheapest first."""
+        left, alive, ready, out = list(rules), dict(self.masks), set(), []
+        while left:
+            def gain(i: int) -> tuple[float, float, int]:
+                cost = self.own.get(i, 0) + sum(self.figures.get(f, 0) for f in self.needs.get(i, set()) - ready)
+                return (-sum(n for mask, n in alive.items() if mask >> i & 1) / max(cost, 1), cost, i)
+
+            best = min(left, key=gain)
+            left.remove(best)
+            out.append(best)
+            ready |= self.needs.get(best, set())
+            alive = {mask: n for mask, n in alive.items() if not mask >> best & 1}
+        return out
+
+
 class QualityCascade:
-    """A set of rules with the order in which they run.
+    """A set of rules with the orders in which they run.
 
-    ``sample_rows`` bounds the expected number of sampled texts; it is a documented parameter of the fit and does not influence
-    which documents are kept.
+    ``order`` holds the given rules alone, for ``judge``, which needs the base figures of every text anyway; ``turns`` holds the base
+    rule (0) and the given ones (from 1), for ``keep``. ``sample_rows`` bounds the expected number of sampled texts; it is a
+    documented parameter of the fit and does not influence which documents are kept.
     """
 
     def __init__(self, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS):
         self.rules, self.sample_rows = rules, sample_rows
         self.order: list[int] = list(range(len(rules)))
+        self.turns: list[int] = [i + 1 for i in self.order] + [0]
 
-    def measure(self, docs: DataFrame) -> DataFrame:
-        """Per rule of the sample: texts seen, texts rejected, nanoseconds spent."""
+    def measure(self, docs: DataFrame) -> Measures:
+        """Costs and rejections of the base rule (0) and the given rules (from 1) over the sample."""
         rows = docs.count()
         share = min(1.0, self.sample_rows / max(rows, 1))
         sample = docs.select("text").sample(fraction=share, seed=7)
-        rules = self.rules
+        rules = BASE + self.rules
 
         def work(texts):
-            spent, rejected = [0] * len(rules), [0] * len(rules)
+            sums: dict[tuple[str, str], int] = {}
+
+            def add(kind: str, name, n: int) -> None:
+                sums[kind, str(name)] = sums.get((kind, str(name)), 0) + n
+
             for text in texts:
+                mask, figures = 0, {}
                 for i, rule in enumerate(rules):
-                    fresh = Text(text or "")  # no shared figures: each rule pays its own cost
+                    fresh = Timed(text or "")  # no figure is left over from the rule before
                     start = time.perf_counter_ns()
-                    rejected[i] += rule.rejects(fresh)
-                    spent[i] += time.perf_counter_ns() - start
-            return [list(range(len(rules))), [len(texts)] * len(rules), rejected, spent]
-
-        parts = map_slices(sample, "rule int, seen long, rejected long, spent_ns long", work)
-        return parts.groupBy("rule").agg(*(F.sum(c).alias(c) for c in ("seen", "rejected", "spent_ns")))
+                    mask |= bool(rule.rejects(fresh)) << i
+                    add("own", i, time.perf_counter_ns() - start - fresh.inner)
+                    figures |= fresh.spent
+                    for name in fresh.asked:
+                        add("need", f"{i} {name}", 1)
+                for name, took in figures.items():  # once a text, however many rules ask for it
+                    add("figure", name, took)
+                add("mask", mask, 1)
+            return [[k for k, _ in sums], [n for _, n in sums], list(sums.values())]
+
+        parts = map_slices(sample, "kind string, name string, n long", work)
+        found = parts.groupBy("kind", "name").agg(F.sum("n").alias("n")).collect()  # bounded by rules, figures and sampled texts
+        of = {kind: {r["name"]: r["n"] for r in found if r["kind"] == kind} for kind in ("own", "need", "figure", "mask")}
+        needs: dict[int, set[str]] = {}
+        for name in of["need"]:
+            i, figure = name.split(" ", 1)
+            needs.setdefault(int(i), set()).add(figure)
+        return Measures({int(k): n for k, n in of["mask"].items()}, {int(k): n for k, n in of["own"].items()}, of["figure"], needs)
 
     def fit(self, docs: DataFrame) -> QualityCascade:
-        """Order the rules by rejections per cost; rules never seen rejecting keep their order at the end, cheapest first."""
-        found = {r["rule"]: r for r in self.measure(docs).collect()}  # one row per rule
-
-        def gain(i: int) -> tuple[float, float]:
-            r = found.get(i)
-            if r is None:
-                return (0.0, 0.0)
-            return (-r["rejected"] / max(r["spent_ns"], 1), r["spent_ns"] / max(r["seen"], 1))
-
-        self.order = sorted(range(len(self.rules)), key=lambda i: (*gain(i), i))
+        """Order the rules by rejections per cost."""
+        found = self.measure(docs)
+        self.order = [i - 1 for i in found.order(list(range(1, len(self.rules) + 1)))]
+        self.turns = found.order(list(range(len(self.rules) + 1)))
         return self
 
     def first_rejection(self, t: Text) -> str | None:
@@ -209,9 +272,9 @@ class QualityCascade:
             "base_failed boolean, kept boolean"), work)
 
     def keep(self, docs: DataFrame) -> DataFrame:
-        """The documents no rule rejects, all their columns unchanged; here the base rule takes part in the short circuit."""
+        """The documents no rule rejects, all their columns unchanged; the base rule has its place among the others."""
         full = QualityCascade(BASE + self.rules, self.sample_rows)
-        full.order = [i + 1 for i in self.order] + [0]
+        full.order = self.turns
         names = docs.columns
         at = names.index("text")
 
