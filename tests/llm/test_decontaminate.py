@@ -75,3 +75,30 @@ def test_empty_tables(spark):
 def test_long_text_with_many_hits():
     matcher = d.Matcher(((1, "the thing that the other thing thought of " * 3),), d.ERROR_RATE)
     assert matcher.matches("the thing that the other " * 4000) == []
+
+
+def test_only_two_blocks_are_held_at_a_time(spark, monkeypatch):
+    alive = []
+    made = d.leaks_of
+
+    def watched(docs, items, *rest):
+        alive.append((sum(len(t) for _, t in items), len(items)))
+        return made(docs, items, *rest)
+
+    monkeypatch.setattr(d, "leaks_of", watched)
+    bench = spark.range(50).selectExpr("id item_id", "concat('item ', id, repeat(concat(' w', id), 300)) text")
+    docs = spark.createDataFrame([(7, "item 7" + " w7" * 300, {"k": "v"}), (8, "item 8 w8", None), (None, None, None)],
+                                 "doc_id long, text string, row map<string,string>")
+    got = d.find_leaks(docs, bench, block_chars=1500)
+    assert [tuple(r)[:3] for r in got.collect()] == [(7, 7, 0)]
+    assert len(alive) >= 25 and max(size for size, _ in alive) <= 1500
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()  # written rows, no closures of blocks
+    kept = d.clean(docs, bench, block_chars=1500)
+    assert kept.schema == docs.schema and sorted(str(r["doc_id"]) for r in kept.collect()) == ["8", "None"]
+
+
+def test_repeated_rows_go_alike_over_several_blocks(spark):
+    bench = spark.createDataFrame([(1, "one two three four"), (2, "five six seven eight")], "item_id long, text string")
+    rows = [(1, "one two three four"), (1, "one two three four"), (2, "clean"), (2, "clean"), (None, "five six seven eight")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in d.clean(docs, bench, block_chars=5).collect()) == [(2, "clean"), (2, "clean")]

@@ -5,27 +5,32 @@ characters may occur with ``k = floor(m * error_rate)`` edits. It is cut into ``
 whole, so an exact search for all pieces of all items (one Aho-Corasick pass over the whole document) meets every occurrence. The
 surroundings of each hit are verified with Myers' bit-parallel edit distance.
 
-The item set is read in blocks of at most ``BLOCK_CHARS`` characters, each block one pass over the documents, so what travels to
-the tasks is bounded whatever the size of the benchmark.
+The item set is read in blocks of at most ``BLOCK_CHARS`` characters, each block one pass over the documents. A benchmark of one
+block gives a plain plan. With more, each block is a job of its own whose rows are written to the shared folder before the next
+block is read, so driver, plan and tasks hold two blocks at most, whatever the size of the benchmark.
 
 Null, empty and wordless items match nothing; neither do null and empty documents. Short items (``k`` = 0) must occur exactly, at
-word boundaries. Repeated documents and items each give their own rows. Only ``doc_id`` and ``text`` (``item_id`` and ``text``) are
+word boundaries. Of an item's places in a document the one with the least distance is given, of equally near ones the first. Very
+long documents take time in proportion to their length and hits. Repeated documents and items each give their own rows. Only ``doc_id`` and ``text`` (``item_id`` and ``text``) are
 read; null ids stay null.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import map_slices
+from weekloom.llm.common import map_slices, shared_folder, written
 
 ERROR_RATE = 0.08
 BLOCK_CHARS = 4_000_000
+LEAKS = "doc_id long, item_id long, distance int, start long, end long"
 WORD = re.compile(r"\w+")
 
 Items = tuple[tuple[int | None, str], ...]
@@ -139,14 +144,14 @@ class Matcher:
         return [(self.items[n][0], *place) for n, place in sorted(best.items())]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def matcher_of(items: Items, error_rate: float) -> Matcher:
     return Matcher(items, error_rate)
 
 
 def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Items]:
-    """The items in blocks of bounded length, in the order of their id; an item longer than a block is its own block."""
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null").orderBy("item_id", "text")
+    """The items in blocks of bounded length, as they are stored; an item longer than a block is its own block."""
+    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     block, size = [], 0
     for item_id, text in rows.toLocalIterator():
         if block and size + len(text) > block_chars:
@@ -158,44 +163,71 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[Ite
         yield tuple(block)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per (document, item found in it): ``doc_id, item_id, distance, start, end``."""
-    shape = "doc_id long, item_id long, distance int, start long, end long"
-    whole = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+def one_or_more(given: Iterator[Items]) -> tuple[Items | None, Iterator[Items] | None]:
+    """(the only block, None), or (None, all blocks) where there are several; (None, None) without any."""
+    first = next(given, None)
+    second = next(given, None)
+    return (first, None) if second is None else (None, chain((first, second), given))
+
+
+def leaks_of(docs: DataFrame, items: Items, error_rate: float, key: str) -> DataFrame:
+    """The leaks of one block; ``key`` names the column of ``docs`` that tells its rows, handed on as ``doc_id``."""
+    whole = docs.select(F.col(f"`{key}`").cast("long"), F.col("text").cast("string"))
+
+    def work(ids, texts):
+        matcher = matcher_of(items, error_rate)
+        rows = [(i, *m) for i, t in zip(ids, texts) for m in matcher.matches(t)]
+        return [list(c) for c in zip(*rows)] if rows else [[]] * 5
 
-    def of(items: Items):
-        def work(ids, texts):
-            matcher = matcher_of(items, error_rate)
-            rows = [(i, *m) for i, t in zip(ids, texts) for m in matcher.matches(t)]
-            return [list(c) for c in zip(*rows)] if rows else [[]] * 5
+    return map_slices(whole, LEAKS, work)
 
-        return map_slices(whole, shape, work)
 
-    out = None
-    for items in blocks(benchmark, block_chars):
-        out = of(items) if out is None else out.unionByName(of(items))
-    return docs.sparkSession.createDataFrame([], shape) if out is None else out
+def collected(parts: Iterator[DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """The rows of all parts, each part written by a job of its own before the next one is made."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    schema = None
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        schema = part.schema
+    return spark.read.schema(schema).parquet(path)
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """One row per (document, item found in it): ``doc_id, item_id, distance, start, end``."""
+    only, several = one_or_more(blocks(benchmark, block_chars))
+    if several is not None:
+        return collected((leaks_of(docs, items, error_rate, "doc_id") for items in several), docs.sparkSession, "leaks")
+    return leaks_of(docs, only or (), error_rate, "doc_id")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents without any test item, all columns unchanged."""
-    names = docs.columns
-    at = names.index("text")
-
-    def of(items: Items):
-        def run(batches):
-            import pyarrow as pa
-
-            matcher = matcher_of(items, error_rate)
-            for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    part = batch.slice(start, 256)
-                    ok = [not matcher.matches(t) for t in part.column(at).to_pylist()]
-                    if any(ok):
-                        yield part.filter(pa.array(ok))
-
-        return run
-
-    for items in blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(of(items), docs.schema)
-    return docs
+    """The documents without any test item, all columns unchanged.
+
+    With several blocks the documents are written once with a row number, every block adds the numbers of the rows it is found in,
+    and those rows are left out in the end.
+    """
+    only, several = one_or_more(blocks(benchmark, block_chars))
+    if several is not None:
+        row = "row"
+        while row.lower() in (c.lower() for c in docs.columns):
+            row += "_"
+        numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "clean-rows")
+        found = (leaks_of(numbered, items, error_rate, row).select(F.col("doc_id").alias(row)).distinct() for items in several)
+        bad = collected(found, docs.sparkSession, "clean-found").distinct()
+        return numbered.join(bad, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    if only is None:
+        return docs
+    items, at = only, docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+
+        matcher = matcher_of(items, error_rate)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                ok = [not matcher.matches(t) for t in part.column(at).to_pylist()]
+                if any(ok):
+                    yield part.filter(pa.array(ok))
+
+    return docs.mapInArrow(run, docs.schema)
