@@ -95,3 +95,28 @@ def test_pruning_keeps_pairs_at_the_threshold():
         n = step * nj.STEP
         lost += sum(comb(n, m) * 0.8**m * 0.2 ** (n - m) for m in range(fewest))
     assert lost < 1e-4
+
+
+def test_repeated_rows_with_map_columns(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text, {"b": 1}, {"x": 1}), (1, text, {"a": 2}, {"x": 2}), (2, text, None, None), (None, None, {"c": 3}, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, fp map<string,int>")
+    kept = nj.one_of_each(frame)
+    assert kept.schema == frame.schema
+    assert sorted(((r["doc_id"], r["tags"]) for r in kept.collect()), key=str) == sorted([(1, {"a": 2}), (None, {"c": 3})], key=str)
+
+
+def test_hot_keys_are_joined_without_dealing_their_rows(spark):
+    hot = [("hot", i) for i in range(5000)] + [(f"k{i}", i) for i in range(5000)]
+    rows = spark.createDataFrame(hot, "k string, i int")
+    known = spark.createDataFrame([("hot", 5000, "h")] + [(f"k{i}", 1, str(i)) for i in range(5000)], "k string, n long, label string")
+    joined = nj.with_hot_keys(rows, known, "k", "n")
+    assert sorted(map(tuple, joined.select("k", "i", "label").collect())) == sorted((k, i, "h" if k == "hot" else str(i)) for k, i in hot)
+    assert nj.with_hot_keys(rows.limit(0), known.limit(0), "k", "n").count() == 0
+
+
+def test_star_with_a_hub(spark):
+    edges = [(i.to_bytes(2, "big"), (3000).to_bytes(2, "big")) for i in range(1, 3000)] + [((3000).to_bytes(2, "big"), (4000).to_bytes(2, "big"))]
+    got = nj.components(spark.createDataFrame(edges, "fp binary, root binary")).collect()
+    assert {int.from_bytes(r["fp"], "big") for r in got} == {*range(1, 3001), 4000}
+    assert {int.from_bytes(r["root"], "big") for r in got} == {1}

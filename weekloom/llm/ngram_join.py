@@ -39,6 +39,7 @@ TOLERANCE = 1e-6
 BLOCK_TEXTS = 400
 BLOCK_SHINGLES = 500_000
 SIEVE_BITS = 1 << 27
+HOT_SHARE = 0.001  # a key with a larger share of a join's rows is joined by broadcast
 SEEN = 200_000  # texts a task remembers to have handed on
 WORD = re.compile(r"\w+")
 VALUES = BANDS * ROWS
@@ -293,8 +294,20 @@ class NgramJoin:
         """One row per document: ``doc_id, class_id, n_links, n_copies``."""
         texts = written(self.texts_with_class(), "join-classes")
         ids = texts.groupBy("root").agg(F.min("first_id").alias("class_id"))
-        known = texts.join(ids, "root").select("fp", "class_id", "n_links", "n_copies")
-        return self.table.select("doc_id", "fp").join(known, "fp").select("doc_id", "class_id", "n_links", "n_copies")
+        known = written(texts.join(ids, "root").select("fp", "class_id", "n_links", "n_copies"), "join-known")
+        rows = self.table.select("doc_id", "fp")
+        return with_hot_keys(rows, known, "fp", "n_copies").select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def with_hot_keys(rows: DataFrame, known: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined with ``known``, which has one row per key and in ``count`` the key's number of rows.
+
+    A key with more than ``HOT_SHARE`` of all rows is hot. There are fewer than ``1 / HOT_SHARE`` of them, so their rows of ``known``
+    are broadcast and their rows stay where they are; only the others are dealt by key.
+    """
+    limit = HOT_SHARE * (known.agg(F.sum(count)).first()[0] or 0)
+    hot = F.broadcast(known.where(F.col(count) > limit))
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(known.where(F.col(count) <= limit), key))
 
 
 def streamed(batches) -> Iterator[tuple]:
@@ -315,9 +328,9 @@ def components(edges: DataFrame) -> DataFrame:
             both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
         else:
             both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        # written, so that the join deals both sides anew and Spark can split the rows of a hub
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "join-least")
-        hung = both.join(least, "u")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = written(least.select("u", F.least("u", "m").alias("m"), "n"), "join-least")
+        hung = with_hot_keys(both, least, "u", "n")
         if large:
             hung = hung.where("v > u").select(F.col("v").alias("fp"), F.col("m").alias("root"))
         else:
@@ -341,19 +354,21 @@ def components(edges: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, all its columns unchanged: the one with the smallest ``doc_id`` (null last), then text digest.
 
-    Of repeated rows of that document the smallest in all columns stays.
+    Of repeated rows of that document the smallest in all columns stays; columns with maps, which have no order, count as JSON.
     """
     join = NgramJoin(docs, threshold)
     texts = join.texts_with_class().select("fp", "root")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
     same = join.table.groupBy("doc_id", "fp").agg(F.count("*").alias("times"))
-    best = same.join(texts, "fp").groupBy("root").agg(F.min(F.struct(order.alias("o"), "times")).alias("b"))
+    least = same.groupBy("fp").agg(F.min(F.struct(order.alias("o"), "times")).alias("b"))  # one row per text before the join
+    best = least.join(texts, "fp").groupBy("root").agg(F.min("b").alias("b"))
     best = best.select(F.col("b.o.doc_id").alias("best_id"), F.col("b.o.fp").alias("best_fp"), F.col("b.times").alias("times"))
     best = written(best, "join-best")
     names = docs.columns
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("d"))
     digest = F.unhex(F.md5(F.coalesce(F.col("d.text").cast("string"), F.lit(""))))
     kept = whole.withColumn("fp", digest).join(best, (F.col("fp") == F.col("best_fp")) & F.col("d.doc_id").cast("long").eqNullSafe(F.col("best_id")))
+    size = F.struct(*(F.to_json(F.struct(f"d.`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"d.`{f.name}`") for f in docs.schema))
     once = kept.where("times = 1").select("d.*")
-    again = kept.where("times > 1").groupBy("best_fp", "best_id").agg(F.min("d").alias("d")).select("d.*")
+    again = kept.where("times > 1").groupBy("best_fp", "best_id").agg(F.min_by("d", size).alias("d")).select("d.*")
     return once.unionByName(again)
