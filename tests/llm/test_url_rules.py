@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from weekloom.llm import url_rules as ur
 
@@ -54,3 +55,11 @@ def test_no_pages_and_no_rules(spark):
     rules = ur.default_rules(spark)
     assert ur.UrlRules(rules).judge(pages.limit(0)).count() == 0
     assert tuple(ur.UrlRules(rules.limit(0)).judge(pages).first()) == (1, "a.com", "/", None, "allow")
+
+
+def test_equal_rows_are_spread_over_ranges(spark):
+    pages = spark.range(4000).selectExpr("cast(null as long) page_id", "'http://hot.example.com/en/' url").repartition(4)
+    judged = ur.UrlRules(ur.default_rules(spark), tasks=4).judge(pages)
+    sizes = [r["n"] for r in judged.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 1 and max(sizes) < 3000
+    assert judged.where("rule = 'example.com/en/' and verdict = 'block'").count() == 4000

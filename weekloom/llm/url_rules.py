@@ -92,7 +92,7 @@ class UrlRules:
         tasks = self.tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
         ranges = RANGES_PER_TASK * tasks
         urls = parsed(pages).withColumn("key", reversed_host(F.col("host")))
-        urls = urls.withColumn("spread", F.xxhash64("page_id", "path"))  # cuts a run of equal keys
+        urls = urls.withColumn("spread", F.xxhash64("page_id", "path", F.monotonically_increasing_id()))  # cuts a run of equal keys, equal rows too
         rules = self.rules.where("host is not null and verdict is not null and host != ''").select(
             lower_ascii(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").withColumn(
             "key", reversed_host(F.col("host")))
