@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from weekloom.functions.ranks import exact_quantiles, global_row_number, rank_in_group
+from weekloom.functions.ranks import FINE_BITS, _code, exact_quantiles, global_row_number, rank_in_group
 
 
 def test_global_row_number_is_dense_and_ordered(spark):
@@ -33,3 +33,36 @@ def test_exact_quantiles_match_linear_interpolation(spark):
             assert abs(r[name] - np.quantile(groups[r["g"]], p)) < 1e-9, (r["g"], name)
     whole = exact_quantiles(df, [], "v", {"m": 0.5}).first()["m"]
     assert abs(whole - np.median(np.concatenate(list(groups.values())))) < 1e-9
+
+
+def test_codes_keep_the_order_of_doubles(spark):
+    rng = np.random.default_rng(11)
+    near = 1.0 + np.arange(-300, 300) * 2.0**-52
+    values = np.unique(np.concatenate([near, -near, rng.normal(0, 1e-12, 500), 10.0 ** rng.uniform(-320, 308, 2000),
+                                       -(10.0 ** rng.uniform(-320, 308, 2000)), [0.0, 5e-324, -5e-324, 1.7976931348623157e308, np.inf, -np.inf]]))
+    frame = spark.createDataFrame([(float(v),) for v in [*values, np.nan]], "v double")
+    codes = [r["c"] for r in frame.orderBy("v").select(_code(F.col("v")).alias("c")).collect()]
+    assert codes == sorted(codes)
+
+
+def test_exact_quantiles_of_millions_of_close_values(spark):
+    n = 5_000_000
+    rows = spark.range(n, numPartitions=8).select((100.0 + F.col("id") * 2e-9).alias("v"))  # within 0.01 %
+    got = exact_quantiles(rows, [], "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99}).first()
+    values = 100.0 + np.arange(n) * 2e-9
+    for name, p in {"p10": 0.1, "p50": 0.5, "p99": 0.99}.items():
+        assert abs(got[name] - np.quantile(values, p)) < 1e-12
+    coded = rows.select(_code(F.col("v")).alias("c"))
+    sizes = coded.groupBy("c").count().agg(F.max("count").alias("most"), F.count("*").alias("parts")).first()
+    assert sizes["most"] <= 100 and coded.select(F.shiftright("c", FINE_BITS)).distinct().count() <= 2
+
+
+def test_exact_quantiles_around_zero_and_of_negative_values(spark):
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(0, 1e-15, 700), np.zeros(50), -np.exp(rng.normal(0, 4, 400)), [-1.0] * 30])
+    frame = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    probs = {f"p{k}": k / 100 for k in (0, 1, 25, 37, 50, 66, 90, 100)}
+    got = exact_quantiles(frame, [], "v", probs).first()
+    for name, p in probs.items():
+        assert abs(got[name] - np.quantile(values, p)) <= 1e-9 * max(1.0, abs(got[name]))
+    assert exact_quantiles(frame.limit(0), [], "v", probs).count() == 0
