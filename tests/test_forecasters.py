@@ -125,3 +125,31 @@ def test_position_join_keeps_test_dates_and_missing_forecasts(panel):
     pred = panel(a=[10, 20]).selectExpr("unique_id", "date_add(ds, 3) as ds", "cast(y as double) as y_pred")
     got = EV.by_position(test, pred).orderBy("unique_id", "ds").collect()
     assert [r["y_pred"] for r in got] == [10.0, 20.0, None, None, None, None]
+
+
+def test_batches_of_unlike_series_equal_the_recursions(panel, series):
+    rng = random.Random(5)
+    mixed = {**series, "one": [3], "late": [0] * 40 + [5], "never": [0] * 9, **{f"r{k}": [rng.randint(0, 3) * rng.randint(0, 9) for _ in range(k + 2)] + [1] for k in range(30)}}
+
+    def line(ys, a, b):
+        level, trend, error = float(ys[0]), 0.0, 0.0
+        for v in ys[1:]:
+            guess = level + trend
+            error, before, level = error + (v - guess) ** 2, level, a * v + (1 - a) * guess
+            trend = b * (level - before) + (1 - b) * trend
+        return error, level, trend
+
+    for model in ("CrostonOptimized", "ADIDA", "IMAPA", "ETS"):
+        for r in FC.forecast(panel(**mixed), model, 4).where("step = 4").collect():
+            ys = mixed[r["unique_id"]]
+            if model == "ETS":
+                _, level, trend = min((line(ys, a, b) for a in FC.ETS_ALPHAS for b in FC.ETS_BETAS), key=lambda f: f[0])
+                assert r["y_pred"] == pytest.approx(level + 4 * trend, abs=1e-9), r
+            else:
+                assert r["y_pred"] == pytest.approx(expected(model, ys) if any(ys) else 0.0, abs=1e-9), (model, r)
+
+
+def test_python_sees_only_the_rows_of_its_type(panel):
+    packed = FC.pack(panel(a=[1, 2, 3], b=[4, 5, 6])).selectExpr("*", "if(unique_id = 'a', 'smooth', 'lumpy') as demand_type")
+    got = {r["unique_id"]: (r["model"], r["f"]) for r in FC.route(packed, {"smooth": "ETS", "lumpy": "Croston"}, 2, "f").collect()}
+    assert got["a"][0] == "ETS" and got["b"][0] == "Croston" and all(len(f) == 2 for _, f in got.values())
