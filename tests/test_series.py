@@ -33,3 +33,9 @@ def test_number_of_partitions_grows_with_the_weeks(spark, monkeypatch):
     monkeypatch.setattr(PREP, "WEEKS_PER_TASK", 10)
     weekly = spark.createDataFrame([(f"s{k}", MONDAY + dt.timedelta(weeks=w), 1) for k in range(10) for w in (0, 9)], "unique_id string, ds date, y bigint")
     assert PREP.unpacked(pin(S.refined(weekly))).rdd.getNumPartitions() == 10
+
+
+def test_spread_takes_as_many_partitions_as_the_rows_need(spark):
+    rows = pin(spark.range(100).selectExpr("id % 7 as k", "id"))
+    assert P.spread(rows, ["k"], 5).rdd.getNumPartitions() == 20
+    assert P.spread(rows, ["k"], 1000).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
