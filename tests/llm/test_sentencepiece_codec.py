@@ -82,3 +82,31 @@ def test_round_trip_compares_with_the_given_text():
     built = codec.Codec(codec.load() + b"\x1a\x02\x20\x01")
     assert built.model.squeeze
     assert [c[1:] for c in built.encode_checked(["a b", "a  b", " a"])] == [(True, True), (True, False), (True, False)]
+
+
+def test_long_texts_are_cut_between_words(built):
+    """The ids of the parts are those of the whole text, whatever stands at the cut; no merge has to hold a whole text."""
+    draw = random.Random(5)
+    given = ["".join(draw.choices(PIECES, k=3000)) for _ in range(40)] + ["", " ", "▁" * 3000, "x" * 3000, "a" + " " * 3000 + "b", ("b" * 999 + " ") * 4]
+    assert [len(p) for p in codec.pieces_of(("b" * 999 + "▁") * 3)] == [1999, 1001]
+    assert all("".join(codec.pieces_of(built.normal(t))) == built.whole.normalizer.normalize_str(t) for t in given)
+    assert all(p.startswith("▁") for t in given for p in codec.pieces_of(built.normal(t))[1:])
+    assert built.encode(given) == [e.ids for e in built.whole.encode_batch_fast(given, add_special_tokens=False)]
+
+
+def test_a_marker_inside_a_piece_forbids_cuts():
+    model = codec.parse(codec.load())
+    assert codec.by_word(model)
+    model.pieces.append(("a▁b", -1.0, codec.NORMAL))
+    assert not codec.by_word(model)
+
+
+def test_marker_decoding_by_character(built):
+    """Any ids decode as with a replacement in each piece, also single bytes of a marker."""
+    from tokenizers import decoders
+
+    draw, other = random.Random(7), codec.Codec(codec.load())
+    other.whole.decoder = decoders.Sequence([decoders.Replace("▁", " "), decoders.ByteFallback(), decoders.Fuse(), decoders.Strip(" ", 1, 0)])
+    marker = [built.model.pieces.index((f"<0x{b:02X}>", 0.0, codec.BYTE)) for b in "▁".encode()]
+    given = [[draw.randrange(32000 if k % 2 else 300) for _ in range(30)] for k in range(500)] + [marker, [*marker, 5], []]
+    assert built.decode(given) == other.decode(given)

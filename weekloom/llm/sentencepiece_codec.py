@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding on the ``tokenizers`` backend.
 
 The model protobuf is read field by field, and the pieces, scores, normaliser, metaspace marker and byte fallback are rebuilt as a
-``tokenizers`` pipeline: a Unigram model keeps its scores, a BPE model gets its merges from the scores of the merged pieces. Batches are
-encoded and decoded by the library's threads. Parity with the SentencePiece library is verified for every text: it must give the same
+``tokenizers`` pipeline: a Unigram model keeps its scores, a BPE model gets its merges from the scores of the merged pieces. Where no
+piece has a marker after another character, no merge reaches over the start of a word, so a long text is cut there and its parts are merged by
+themselves. Batches are encoded and decoded by the library's threads. Parity with the SentencePiece library is verified for every text: it must give the same
 ids, and the same text for them. The round trip is verified too: what the rebuilt decoder makes of the ids must be the given text, so it
 is false where a model's normaliser (character map, squeezed spaces) loses something.
 
@@ -13,12 +14,13 @@ are read.
 
 from __future__ import annotations
 
+import re
 import struct
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -30,6 +32,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BATCH = 64  # texts encoded together; the ids of both libraries lie in memory as Python lists
 MAX_MODEL_BYTES = 64 << 20  # the model travels to every task
+PART = 1000  # characters after which a text may be cut at the start of a word
+WORD_END = re.compile(f"[^{MARK}](?={MARK})")
 
 # fixed values: piece types and model types of the protobuf
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -62,6 +66,15 @@ def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+def pieces_of(text: str, size: int = PART) -> list[str]:
+    """A normalised text cut at the first start of a word after every ``size`` characters."""
+    out, start = [], 0
+    while end := WORD_END.search(text, start + size):
+        out.append(text[start:end.end()])
+        start = end.end()
+    return [*out, text[start:]]
+
+
 @dataclass
 class Model:
     pieces: list[tuple[str, float, int]] = field(default_factory=list)
@@ -116,6 +129,12 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(a, b) for *_, a, b in sorted(ranked)]
 
 
+def by_word(model: Model) -> bool:
+    """Whether the ids of a text are those of its words in turn: a marker only leads a piece, and no character is unknown."""
+    whole_bytes = model.byte_fallback and {f"<0x{b:02X}>" for b in range(256)} <= {p for p, _, kind in model.pieces if kind == BYTE}
+    return model.kind == BPE and model.escape and whole_bytes and not any(MARK in p.lstrip(MARK) for p, *_ in model.pieces)
+
+
 class Codec:
     """Encoder and decoder rebuilt from a SentencePiece model."""
 
@@ -143,13 +162,24 @@ class Codec:
             steps.append(normalizers.Replace(" ", MARK))
         self.whole = backend()
         self.whole.normalizer = normalizers.Sequence(steps)
-        back = [decoders.Replace(MARK, " ")] * m.escape + [decoders.ByteFallback(), decoders.Fuse()]
+        self.parts = backend() if by_word(m) else None
+        back = [decoders.Metaspace(MARK, "never", False)] * m.escape + [decoders.ByteFallback(), decoders.Fuse()]
         self.whole.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * m.dummy_prefix)
         self.original = sentencepiece.SentencePieceProcessor(model_proto=data)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of whole texts by the rebuilt pipeline, in parallel threads."""
-        return [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        """Token ids of whole texts by the rebuilt pipeline."""
+        if self.parts is None:
+            return [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        cut = [pieces_of(self.normal(t)) for t in texts]
+        found = iter(self.parts.encode_batch_fast([p for parts in cut for p in parts], add_special_tokens=False))
+        return [list(chain.from_iterable(next(found).ids for _ in parts)) for parts in cut]
+
+    def normal(self, text: str) -> str:
+        """The text as the pipeline's normaliser leaves it; marks for spaces need no normaliser."""
+        if self.model.charsmap or self.model.squeeze:
+            return self.whole.normalizer.normalize_str(text)
+        return MARK * (self.model.dummy_prefix and text != "") + text.replace(" ", MARK)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.whole.decode_batch(ids, skip_special_tokens=False)
