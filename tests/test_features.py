@@ -88,3 +88,37 @@ def test_holidays_begin_in_their_first_year(spark):
 def test_every_state_has_a_holiday():
     states = {s for listed in H.REGION_STATES.values() for s in listed}
     assert states == {s for *_, s, _ in H.STATE_FIXED}
+
+
+def test_moving_mean_is_worked_out_once(spark, panel):
+    """The same lags and means as with a moving window for each lag, also past the end of a series; one moving window in the plan."""
+    rows = panel(a=[(k * 7) % 11 for k in range(60)], b=[3] * 15, c=[1, None, None, 5] * 8)
+    for ahead in (0, 4):
+        base = L.extend_future(rows, ahead) if ahead else rows
+        for transform in ("none", "rolling_mean_4", "rolling_mean_13", "expanding_mean"):
+            wanted = base.withColumns(L.lag_columns([4, 8, 13], transform))
+            got = L.with_lags(base, [4, 8, 13], transform).select(wanted.columns)
+            assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+    plan = L.lag_features(rows, L.LAG_PRESETS["long"], "rolling_mean_13")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("avg(") == 1
+
+
+def test_recent_lags_are_those_of_the_whole_series(spark):
+    """Cutting the weeks before the lags are taken changes none of the last weeks, in long, short and twice-dated series."""
+    from pyspark.sql import functions as F
+    from weekloom.plans.modelling import Modelling
+    from weekloom.sources.retail import RetailTables
+
+    def row(name, places):
+        days = [None if p is None else MONDAY + dt.timedelta(weeks=p) for p in places]
+        return name, "lumpy", days, [(k * 5) % 13 for k in range(len(places))], max(d for d in days if d), len(places)
+
+    given = [row("long", range(200)), row("short", range(20)), row("twice", sorted([*range(100), 70, 95, 95])), row("undated", [None, *range(90)])]
+    model = Modelling(RetailTables(spark, "unused"))
+    model.__dict__["series"] = spark.createDataFrame(given, "unique_id string, demand_type string, weeks array<date>, values array<bigint>, last_ds date, n int")
+    whole = model.panel.select("unique_id", "ds", F.col("y").cast("double").alias("y")).withColumns(L.lag_columns(L.LAG_PRESETS["medium"], "rolling_mean_4")).drop("y")
+    ends = model.series.select("unique_id", "last_ds")
+    wanted = whole.join(ends, "unique_id").where(F.col("ds") >= F.date_sub("last_ds", 7 * 20)).drop("last_ds")
+    got = model.recent_lags(20).select(wanted.columns)
+    assert got.count() == 21 + 20 + 23 + 21
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()

@@ -52,3 +52,15 @@ def test_nothing_to_fit(spark):
     rows = spark.createDataFrame([(None, 1.0), (1.0, None)], "x double, y double")
     fitted = QR.fit(rows, {"x": F.col("x")}, F.col("y"), PROBS, {"q50": {"x": 2.0}})
     assert fitted.weights == {"q50": (2.0,), "q80": (0.0,), "q95": (0.0,)}
+
+
+def test_rows_are_written_as_blocks(spark):
+    """Fewer written values than rows, and the same rows come back in every pass, whatever the number of columns."""
+    draw = np.random.default_rng(5)
+    for width in (1, 3, 2000):
+        x = draw.normal(size=(100, width))
+        rows = spark.createDataFrame([(v.tolist(), float(i)) for i, v in enumerate(x)], "x array<double>, z double").coalesce(1)
+        blocks = QR._blocks(rows, width)
+        assert blocks.count() == -(-100 // max(QR.BLOCK // (width + 1), 1))
+        sums = QR._sums(blocks, width, lambda a, z: np.array([[a.sum(), (a[:, 0] * z).sum(), float(len(z))]]))
+        assert [sums[0, j] for j in range(3)] == pytest.approx([x.sum(), (x[:, 0] * np.arange(100)).sum(), 100])
