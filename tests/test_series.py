@@ -1,7 +1,11 @@
 import datetime as dt
 import random
 
-from weekloom.operators import demand as D, panel as P, series as S
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from weekloom.operators import demand as D, forecasters as FC, lags as L, panel as P, series as S
 from weekloom.plans import preparation as PREP
 from weekloom.session import pin
 from tests.conftest import MONDAY
@@ -39,3 +43,35 @@ def test_spread_takes_as_many_partitions_as_the_rows_need(spark):
     rows = pin(spark.range(100).selectExpr("id % 7 as k", "id"))
     assert P.spread(rows, ["k"], 5).rdd.getNumPartitions() == 20
     assert P.spread(rows, ["k"], 1000).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 7, 100])
+def test_groups_stay_whole_across_batches(monkeypatch, at_once):
+    monkeypatch.setattr(S, "ROWS_AT_ONCE", at_once)
+    sizes = [3, 1, 1, 20, 2, 5]
+    numbers = [k for size in sizes for k in range(1, size + 1)]
+    names = [g for g, size in enumerate(sizes) for _ in range(size)]
+    table = pa.RecordBatch.from_pydict({"g": names, "_i": pa.array(numbers, pa.int32())})
+    batches = [table.slice(k, 4) for k in range(0, len(names), 4)] + [table.slice(0, 0)]
+    seen = []
+    for batch, begin in S.whole_groups(iter(batches)):
+        ends = [*begin[1:], batch.num_rows]
+        for a, b in zip(begin, ends, strict=True):
+            group = batch.column("g").slice(a, b - a).to_pylist()
+            assert len(set(group)) == 1
+            seen.append((group[0], len(group)))
+    assert seen == list(enumerate(sizes))
+
+
+def test_refining_sorts_once_and_collects_no_rows(spark):
+    """Weeks come to a task flat and in order: one sort by series and week serves the segments and the refining."""
+    weekly = spark.createDataFrame([(f"s{k}", MONDAY + dt.timedelta(weeks=w), 1) for k in range(3) for w in range(30)], "unique_id string, ds date, y bigint")
+    placed = D.segment_weekly(P.by_series(weekly, ["unique_id"]), F.lit(MONDAY + dt.timedelta(weeks=29)))
+    plan = S.refined(placed.where("segment = 'valid'"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and "ObjectHashAggregate" not in plan and plan.count("Exchange") == 1
+
+
+def test_unpacked_weeks_lie_by_series(spark):
+    weekly = spark.createDataFrame([(f"s{k}", MONDAY + dt.timedelta(weeks=w), 1) for k in range(50) for w in range(4)], "unique_id string, ds date, y bigint")
+    for part in PREP.unpacked(pin(S.refined(weekly))).select("unique_id", "ds").rdd.glom().collect():
+        assert part == sorted(part)
