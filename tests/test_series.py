@@ -75,3 +75,15 @@ def test_unpacked_weeks_lie_by_series(spark):
     weekly = spark.createDataFrame([(f"s{k}", MONDAY + dt.timedelta(weeks=w), 1) for k in range(50) for w in range(4)], "unique_id string, ds date, y bigint")
     for part in PREP.unpacked(pin(S.refined(weekly))).select("unique_id", "ds").rdd.glom().collect():
         assert part == sorted(part)
+
+
+def test_packed_rows_are_those_of_collected_lists(spark):
+    rows = [("a", "k", MONDAY + dt.timedelta(weeks=w), y) for w, y in [(2, 5), (0, None), (1, 7), (1, 3), (1, None)]]
+    rows += [("a", "m", MONDAY, 4), (None, "k", MONDAY, 9), (None, "k", None, 8), ("b", None, None, 1)]
+    df = spark.createDataFrame(rows, "unique_id string, kind string, ds date, y bigint")
+    lists = F.sort_array(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))
+    wanted = df.groupBy("unique_id", "kind").agg(F.max("ds").alias("last_ds"), F.transform(lists, lambda r: r["y"]).alias("ys"), F.count(F.lit(1)).cast("int").alias("n"))
+    got = FC.pack(df, ("unique_id",), ("kind",))
+    assert got.columns == wanted.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect()))
+    assert "ObjectHashAggregate" not in got._jdf.queryExecution().executedPlan().toString()
