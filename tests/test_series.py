@@ -87,3 +87,21 @@ def test_packed_rows_are_those_of_collected_lists(spark):
     assert got.columns == wanted.columns
     assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect()))
     assert "ObjectHashAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_train_statistics_without_hash_maps_of_values(spark):
+    """As Spark's own aggregates have them, with nulls, single and constant values; the rows are merged with them, never broadcast."""
+    rng = random.Random(5)
+    rows = [(f"s{k}", rng.choice([None, 0, 3, rng.randint(0, 90)])) for k in range(12) for _ in range(3 * k + 1)]
+    rows += [("one", 4), ("flat", 2), ("flat", 2), ("unknown", None), (None, 3), (None, 8)]
+    train = spark.createDataFrame(rows, "unique_id string, y bigint")
+    q = F.percentile("y", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    stats = train.groupBy("unique_id").agg(F.avg("y").alias("m"), F.coalesce(F.stddev_samp("y"), F.lit(0.0)).alias("s"), q.alias("q"))
+    wanted = {r["unique_id"]: (r["s"] / r["m"] if r["m"] else 0.0, r["q"] and r["q"][1], r["q"] and r["q"][2] - r["q"][0]) for r in stats.collect()}
+    got = {r["unique_id"]: (r["cv"], r["q50"], r["iqr"]) for r in L.train_statistics(train).collect()}
+    assert got.keys() == wanted.keys()
+    for k, row in got.items():
+        assert [v is None for v in row] == [v is None for v in wanted[k]]
+        assert [v for v in row if v is not None] == pytest.approx([v for v in wanted[k] if v is not None], rel=1e-12)
+    plan = L.add_train_statistics(train, train)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "percentile" not in plan
