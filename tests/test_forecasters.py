@@ -153,3 +153,11 @@ def test_python_sees_only_the_rows_of_its_type(panel):
     packed = FC.pack(panel(a=[1, 2, 3], b=[4, 5, 6])).selectExpr("*", "if(unique_id = 'a', 'smooth', 'lumpy') as demand_type")
     got = {r["unique_id"]: (r["model"], r["f"]) for r in FC.route(packed, {"smooth": "ETS", "lumpy": "Croston"}, 2, "f").collect()}
     assert got["a"][0] == "ETS" and got["b"][0] == "Croston" and all(len(f) == 2 for _, f in got.values())
+
+
+def test_a_batch_without_values_gives_nulls(spark):
+    """A batch of empty series gave doubles where a forecaster gives lists (model_selection failed now and then)."""
+    rows = spark.createDataFrame([([],), (None,)], "ys array<double>").coalesce(1)
+    lists = FC._in_batches(lambda values, n: values[:, :2], "array<double>")
+    numbers = FC._in_batches(lambda values, n: values[:, 0])
+    assert [tuple(r) for r in rows.select(lists("ys"), numbers("ys")).collect()] == [(None, None)] * 2
